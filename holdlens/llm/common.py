@@ -54,3 +54,23 @@ def empty_if_null(column: str) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def numbered(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
+    """df with a column of gapless numbers from 0 within each key, in the given order; no key is gathered in one task.
+
+    Rows are dealt out by ranges of (key, order) and written; only the counts of (part, key) are summed up over parts.
+    """
+    parts = written(
+        df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+        .select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_at")),
+        "numbered",
+    )
+    from pyspark.sql import Window
+
+    counts = parts.groupBy("_part", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_first"))
+    before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_part", *keys, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return parts.join(starts, ["_part", *keys]).withColumn(name, F.col("_before") + F.col("_at") - F.col("_first")).drop(
+        "_part", "_at", "_first", "_before"
+    )

@@ -6,10 +6,24 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup
+from . import bpe, exact_dedup, sharding, topk, warc
 from .common import table
 
 
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = warc.round_trip(table(spark, sf_dir, "pages"))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts")
+
+
+def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shard(table(spark, sf_dir, "documents"), shards=8)
+    return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op7_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -20,12 +34,35 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_warc_index": op3_warc_index,
+    "op5_kd_shards": op5_kd_shards,
+    "op7_ball_tree_topk": op7_ball_tree_topk,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 ORACLES = {
+    "op3_warc_index": """
+        WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages),
+             s AS (SELECT *, octet_length(encode(html)) AS n, lower(regexp_replace(coalesce(url, ''), '#.*$', '')) AS u FROM p),
+             w AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest) ELSE page_id END AS winner,
+                          regexp_replace(u, '^[a-z][a-z0-9+.-]*://', '') AS bare FROM s)
+        SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+               CASE WHEN winner = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN winner <> page_id THEN winner END AS refers_to,
+               array_to_string(list_reverse(string_split(regexp_replace(regexp_extract(bare, '^([^/?]*)', 1), ':\\d+$', ''), '.')), ',') || ')'
+                 || regexp_extract(bare, '^[^/?]*(.*)$', 1) AS url_key,
+               strftime(make_timestamp((1700000000 + page_id % 100000000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS ts
+        FROM w""",
+    "op7_ball_tree_topk": """
+        WITH v AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS BIGINT) AS score
+                   FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)),
+             r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS "rank" FROM s)
+        SELECT query_id, "rank", vec_id, score FROM r WHERE "rank" <= 5""",
     "op9_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_NORM} AS norm FROM documents)
         SELECT doc_id, min(doc_id) OVER (PARTITION BY norm) AS keep_id, count(*) OVER (PARTITION BY norm) AS group_size,
