@@ -31,7 +31,7 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-    "spark.sql.streaming.metricsEnabled": "false",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
 #: Rows of a hot group that one task compares with the text that stays.
 ROWS_PER_SALT = 256
