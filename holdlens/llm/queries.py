@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, sharding, topk, warc
+from . import bpe, exact_dedup, packing, sharding, topk, toxicity, warc
 from .common import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = warc.round_trip(table(spark, sf_dir, "pages"))
     return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts")
@@ -24,6 +28,11 @@ def op7_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return packing.pack(table(spark, sf_dir, "documents"), tokenizer_json=f.read())
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -34,9 +43,11 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op3_warc_index": op3_warc_index,
     "op5_kd_shards": op5_kd_shards,
     "op7_ball_tree_topk": op7_ball_tree_topk,
+    "op8_packing": op8_packing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_byte_bpe": op10_byte_bpe,
 }
