@@ -6,10 +6,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, packing, sharding, topk, toxicity, warc
+from . import attribution, bpe, exact_dedup, packing, secrets, sharding, topk, toxicity, warc
 from .common import table
 
 
+def _tokenizer() -> str:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        return f.read()
+
+
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -19,18 +24,26 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts")
 
 
+def op4_token_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.attribute(table(spark, sf_dir, "documents"), tokenizer_json=_tokenizer())
+
+
 def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sharding.shard(table(spark, sf_dir, "documents"), shards=8)
     return found.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    forest = secrets.train(secrets.labelled_findings(spark))
+    return secrets.scan(table(spark, sf_dir, "documents"), forest)
+
+
 def op7_ball_tree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0)
 
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
-        return packing.pack(table(spark, sf_dir, "documents"), tokenizer_json=f.read())
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_json=_tokenizer())
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,7 +58,9 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_warc_index": op3_warc_index,
+    "op4_token_attribution": op4_token_attribution,
     "op5_kd_shards": op5_kd_shards,
+    "op6_secret_scan": op6_secret_scan,
     "op7_ball_tree_topk": op7_ball_tree_topk,
     "op8_packing": op8_packing,
     "op9_exact_dedup": op9_exact_dedup,
