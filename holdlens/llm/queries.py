@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, bpe, exact_dedup, packing, secrets, sharding, topk, toxicity, warc
+from . import attribution, bpe, exact_dedup, packing, secrets, sharding, simjoin, topk, toxicity, warc
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simjoin.join(table(spark, sf_dir, "documents"))
+
+
 def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = warc.round_trip(table(spark, sf_dir, "pages"))
     return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "ts")
@@ -57,6 +61,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_ngram_join": op2_ngram_join,
     "op3_warc_index": op3_warc_index,
     "op4_token_attribution": op4_token_attribution,
     "op5_kd_shards": op5_kd_shards,
