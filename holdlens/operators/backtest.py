@@ -72,12 +72,13 @@ def return_at_date(cumulative: DataFrame, dates: DataFrame) -> DataFrame:
     return asof_join(grid, last.withColumnRenamed("exit_date", "date"), by="strategy", on="date", value="total_return")
 
 
-def velocity_scatter(scores: DataFrame, prices: DataFrame, hold_days: int = 30, most: int = 2000) -> DataFrame:
-    """velocity_score against the realised return; a fixed sample of at most so many points, by a hash."""
+def velocity_scatter(scores: DataFrame, prices: DataFrame, hold_days: int = 30, most: int | None = 2000) -> DataFrame:
+    """velocity_score against the realised return; a fixed sample of at most so many points (None: all), by a hash."""
     signals = scores.select(F.lit("scatter").alias("strategy"), F.col("snapshot_date").alias("date"), "ticker", "velocity_score")
     kept = ["strategy", "date", "ticker"]
     found = trades(signals.select(*kept), prices, hold_days).filter(F.col("return_pct").isNotNull()).join(signals, kept)
-    return found.select("ticker", "date", "velocity_score", F.col("return_pct").alias("realized_return")).orderBy(F.xxhash64("ticker", "date"), "ticker", "date").limit(most)
+    points = found.select("ticker", "date", "velocity_score", F.col("return_pct").alias("realized_return"))
+    return points if most is None else points.orderBy(F.xxhash64("ticker", "date"), "ticker", "date").limit(most)
 
 
 def scatter_regression(points: DataFrame) -> DataFrame:

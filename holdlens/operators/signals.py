@@ -58,11 +58,13 @@ def global_rank_motion(boards: DataFrame) -> DataFrame:
     day = lambda c: F.datediff(c, F.lit("1970-01-01").cast("date"))
     calendar = boards.agg(F.array_sort(F.collect_set("snapshot_date"))).scalar()
     rows = boards.select("snapshot_date", "ticker", "leaderboard_rank", day(F.col("snapshot_date")).alias("t"))
+    whole = calendar.alias("whole")
     frame = Window.partitionBy("ticker").orderBy("t").rangeBetween(-30, 0)
     seen = rows.withColumn("obs", F.collect_list(F.struct("snapshot_date", "leaderboard_rank")).over(frame)).withColumn(
         "mid", F.expr("percentile(leaderboard_rank, 0.5) OVER (PARTITION BY ticker ORDER BY t RANGE BETWEEN 30 PRECEDING AND CURRENT ROW)")
     )
-    window = F.filter(calendar, lambda d: (d <= F.col("snapshot_date")) & (d >= F.date_sub("snapshot_date", 30)))
+    seen = seen.select("*", whole)
+    window = F.filter("whole", lambda d: (d <= F.col("snapshot_date")) & (d >= F.date_sub("snapshot_date", 30)))
     seen = seen.withColumn("cal", window)
     ranks = F.transform("obs", lambda o: o["leaderboard_rank"])
     first = F.get(F.filter("obs", lambda o: o["snapshot_date"] == F.get("cal", F.lit(0))), F.lit(0))["leaderboard_rank"]

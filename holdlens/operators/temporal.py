@@ -35,7 +35,8 @@ def flag_panel(boards: DataFrame) -> DataFrame:
     """Long, on the full calendar: the flag of each ticker at each snapshot, "" where it is absent."""
     calendar = boards.agg(F.array_sort(F.collect_set("snapshot_date"))).scalar()
     own = boards.groupBy("ticker").agg(F.map_from_entries(F.collect_list(F.struct("snapshot_date", "flag"))).alias("flags"))
-    return own.select("ticker", F.explode(F.transform(calendar, lambda d: F.struct(d.alias("snapshot_date"), F.coalesce(F.try_element_at("flags", d), F.lit("")).alias("flag")))).alias("x")).select(
+    own = own.withColumn("cal", calendar)
+    return own.select("ticker", F.explode(F.transform("cal", lambda d: F.struct(d.alias("snapshot_date"), F.coalesce(F.try_element_at("flags", d), F.lit("")).alias("flag")))).alias("x")).select(
         "ticker", "x.snapshot_date", "x.flag"
     )
 
