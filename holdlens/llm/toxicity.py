@@ -1,8 +1,7 @@
 """Toxicity: a counterfactual-regularised logistic classifier.
 
-Features of a text are the presence of words and of word beginnings (3 to 6 letters). Candidates are counted over all labelled
-training rows; the vocabulary keeps those whose frequency differs most between the labels (a bounded number). The weights are fitted on a bounded
-sample of labelled rows by proximal gradient descent with an L1 penalty. For every sampled sentence that names an identity term,
+Features of a text are the presence of words and of word beginnings (3 to 6 letters). Everything is learnt from a bounded sample of
+labelled rows (sample_rows): the vocabulary keeps the features whose frequency differs most between the labels, the weights are fitted by proximal gradient descent with an L1 penalty. For every sampled sentence that names an identity term,
 and for neutral sentences made from a few templates, the term is swapped for the others of its group and the change of the score is penalised
 (squared change of the log odds), so that naming a group doesn't raise the score by itself.
 
@@ -143,18 +142,25 @@ def train(
     docs: DataFrame, labels: DataFrame, *, learn: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     sample_rows: int = 20_000, vocabulary_size: int = 4096, least_rows: int = 3, l1: float = 2e-4, swap_penalty: float = 1.0, rounds: int = 400,
 ) -> Classifier:
-    """Learns from the rows of labels for which learn (a condition on doc_id) holds. sample_rows bounds the rows fitted, not those counted."""
-    y = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = written(texts.join(y.filter(learn), "doc_id"), "toxicity-labelled")
-    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    n0, n1 = counts.get(0, 0), counts.get(1, 0)
+    """Learns from the rows of labels for which learn (a condition on doc_id) holds.
+
+    sample_rows bounds the labelled rows that are read: up to half of it for either label, chosen by a hash of the
+    identifier, so the joined side is always small enough to broadcast.
+    """
+    y = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y")).filter(learn)
+    all_counts = {r["y"]: r["n"] for r in y.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n0, n1 = all_counts.get(0, 0), all_counts.get(1, 0)
     if not n0 or not n1:
         share = n1 / (n0 + n1) if n1 else 0.0
         return Classifier({}, np.zeros(0), float(np.log(share / (1 - share))) if 0 < share < 1 else (50.0 if share else -50.0))
-    chosen = vocabulary(rows.select("text", "y"), (n0, n1), vocabulary_size, least_rows if n0 + n1 > 100 else 1)
-    # up to half of the sample for either label, by a hash of the row; only features of the vocabulary go to the driver
-    keep = F.when(F.col("y") == 1, F.lit(min(1.0, sample_rows / 2 / n1))).otherwise(F.lit(min(1.0, sample_rows / 2 / n0)))
+    share = F.when(F.col("y") == 1, F.lit(min(1.0, sample_rows / 2 / n1))).otherwise(F.lit(min(1.0, sample_rows / 2 / n0)))
+    few = y.filter(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) / (1 << 20) < share).limit(2 * sample_rows)
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = written(texts.join(F.broadcast(few), "doc_id"), "toxicity-labelled")
+    counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if len(counts) < 2:
+        return Classifier({}, np.zeros(0), 50.0 if counts.get(1) else -50.0)
+    chosen = vocabulary(rows.select("text", "y"), (counts[0], counts[1]), vocabulary_size, least_rows if sum(counts.values()) > 100 else 1)
     terms = set(_GROUP)
     wanted = set(chosen)
 
@@ -172,10 +178,8 @@ def train(
                 out.append(" ".join(own))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()), batch.column(1)], ["text", "y"])
 
-    sample = rows.filter(F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) / (1 << 20) < keep).select("text", "y").mapInArrow(shorten, "text string, y int")
-    got = [(r["text"], r["y"]) for r in sample.collect()]
-    if len({v for _, v in got}) < 2:
-        got = [(r["text"], r["y"]) for r in rows.select("text", "y").limit(sample_rows).mapInArrow(shorten, "text string, y int").collect()]
+    # only words of the vocabulary and identity terms go to the driver
+    got = [(r["text"], r["y"]) for r in rows.select("text", "y").mapInArrow(shorten, "text string, y int").collect()]
     return fit(sorted(got), chosen, l1=l1, swap_penalty=swap_penalty, rounds=rounds)
 
 
