@@ -1,18 +1,20 @@
 """Fast whole-text encoding with a public tokenizer: each distinct part of a text is encoded once per block.
 
-A text is cut at its single spaces, which byte-level pre-tokenization never joins to what stands before them; a part ending in
-one of . and , is cut once more. Parts are encoded by the tokenizer many at a time; a text with a white-space run that the
-cut would tear is encoded whole.
+A text is cut at its single spaces, which byte-level pre-tokenization never joins to what stands before them. Distinct parts are
+encoded by the tokenizer many at a time; a text with a white-space run that the cut would tear is encoded whole.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from itertools import islice
 
 import numpy as np
 
 TORN = re.compile(r"\s \s|\s $")
+#: A part without white space.
+PLAIN = re.compile(r"\S+").fullmatch
 #: Distinct parts that a block remembers before it starts anew.
 REMEMBERED = 1_000_000
 
@@ -29,42 +31,33 @@ class PartEncoder:
         self.starts_part = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.starts_part[i] = token.startswith("Ġ")
+        #: Parts that follow a space, which isn't in the key.
         self.known: dict[str, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, units: list[str]) -> None:
-        """units begin with a space, have no other white space and at least one more character."""
-        for i in range(0, len(units), 400):
-            some = units[i : i + 400]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<u4")
+        plain = [u for u in units if PLAIN(u)]
+        for i in range(0, len(plain), 400):
+            some = plain[i : i + 400]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0].ids, "<u4")
             at = np.flatnonzero(self.starts_part[ids])
             if len(at) != len(some):
-                self.known.update(zip(some, self.whole(some), strict=True))
+                self.known.update(zip(some, self.whole([" " + u for u in some]), strict=True))
                 continue
             raw, edges = ids.tobytes(), [*(at * 4).tolist(), len(ids) * 4]
             self.known.update((u, raw[a:b]) for u, a, b in zip(some, edges, edges[1:], strict=False))
-
-    def parts(self, text: str) -> list[str] | None:
-        """The parts, or None if the text must be encoded whole."""
-        if TORN.search(text):
-            return None
-        # "word." and "word," share the encoding of "word"; a mark is a part of its own where a letter or digit precedes it
-        units = re.sub(r"(?<=\w)(?<!_)([.,])(?=[ \n]|$)", "\0\\1", text.replace(" ", "\0 ")) if "\0" not in text else None
-        if units is None:
-            return None
-        out = units.split("\0")
-        return out if out[0] else out[1:]
+        rest = [u for u in units if not PLAIN(u)]
+        self.known.update(zip(rest, self.whole([" " + u for u in rest]), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        known = self.known
-        cut = [self.parts(t) if t else [] for t in texts]
-        missing = {u for units in cut if units for u in units if u not in known}
-        plain = [u for u in missing if len(u) > 1 and u[0] == " " and not re.search(r"\s", u[1:])]
-        self._learn(plain)
-        rest = list(missing.difference(plain))
-        known.update(zip(rest, self.whole(rest), strict=True))
-        return [self.whole([t])[0] if units is None else b"".join([known[u] for u in units]) for t, units in zip(texts, cut, strict=True)]
+        cut = [None if TORN.search(t) else t.split(" ") for t in texts]
+        known, heads = self.known, {"": b""}
+        self._learn([u for u in set().union(*(islice(units, 1, None) for units in cut if units)) if u not in known])
+        first = list({units[0] for units in cut if units and units[0]})
+        heads.update(zip(first, self.whole(first), strict=True))
+        get = known.__getitem__
+        return [self.whole([t])[0] if units is None else heads[units[0]] + b"".join(map(get, islice(units, 1, None))) for t, units in zip(texts, cut, strict=True)]
