@@ -121,7 +121,9 @@ def fit(rows: list[tuple[str, int]], chosen: list[str], *, l1: float, swap_penal
     weight = np.where(y == 1, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9)) / len(y)
     w, b = np.zeros(len(chosen)), 0.0
     v, vb, momentum = w.copy(), b, 1.0
-    step = 4.0 / max(1.0, np.average([len(r) for r in x]) + 4 * swap_penalty)
+    # 1 / (a bound of the gradient's Lipschitz constant)
+    lengths = np.array([len(r) + 1 for r in x])
+    step = 1.0 / (0.25 * float(weight @ lengths) + 2 * swap_penalty * (len(pcols) / len(pairs) if pairs else 0))
     for _ in range(rounds):
         z = vb + np.bincount(at, v[cols], len(x))
         g = weight * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y)
