@@ -191,7 +191,7 @@ def _dealt(sets: list[np.ndarray], keys: np.ndarray, labels: np.ndarray, fragmen
     )
 
 
-def _count_shared(same: bool):
+def _count_shared(same: bool, parts: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         get = lambda kind, column, t: np.frombuffer(b"".join(rows.loc[rows["kind"] == kind, column]), t)
         h, key = get(0, "hashes", U), get(0, "keys", np.int64)
@@ -209,14 +209,40 @@ def _count_shared(same: bool):
             found, n = np.unique(key[np.repeat(shared, last - first)], return_counts=True)
             keys.append(found)
             counts.append(n)
-        return pd.DataFrame({"key": np.concatenate(keys), "shared": np.concatenate(counts)})
+        key, n = _summed(np.concatenate(keys), np.concatenate(counts))
+        # packed by the part that sums them up: a row for each part, not for each class and fragment
+        part = (mix(key.astype(U)) % U(parts)).astype(np.int64)
+        return _packed(key, n, part)
 
     return run
 
 
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, at = np.unique(key, return_inverse=True)
+    return found, np.bincount(at, weights=n, minlength=len(found)).astype(np.int64)
+
+
+def _packed(key: np.ndarray, n: np.ndarray, part: np.ndarray) -> pd.DataFrame:
+    order = np.argsort(part, kind="stable")
+    key, n, part = key[order], n[order], part[order]
+    found, first = np.unique(part, return_index=True)
+    edges = [*first.tolist(), len(part)]
+    return pd.DataFrame({
+        "part": found, "keys": [key[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], "counts": [n[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)],
+    })
+
+
+def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
+    get = lambda c: np.frombuffer(b"".join(rows[c]), np.int64)
+    key, n = _summed(get("keys"), get("counts"))
+    return pd.DataFrame({"key": key, "shared": n})
+
+
 def shared_counts(entries: DataFrame, same: bool) -> DataFrame:
     """key, shared: at least the number of the key's entries that another label has too (more only if a key is in several blocks)."""
-    return entries.groupBy("frag").applyInPandas(_count_shared(same), "key bigint, shared bigint").groupBy("key").agg(F.sum("shared").alias("shared"))
+    parts = shuffle_partitions(entries.sparkSession)
+    counted = entries.groupBy("frag").applyInPandas(_count_shared(same, parts), "part bigint, keys binary, counts binary")
+    return counted.groupBy("part").applyInPandas(_add_up, "key bigint, shared bigint")
 
 
 def _fragments(entries: int, spark) -> int:
@@ -331,10 +357,14 @@ def by_prefix(sets: DataFrame, percent: int) -> DataFrame:
     among = rows.join(spread, "h").withColumn("i", F.row_number().over(Window.partitionBy("cls").orderBy("df", "h"))).withColumn(
         "t", F.count(F.lit(1)).over(Window.partitionBy("cls"))
     )
-    prefix = written(among.filter(F.col("i") <= F.col("t") - F.ceil(F.col("n") * percent / 100) + 1).select("cls", "comp", "n", "h"), "join-prefix")
-    other = prefix.select(F.col("cls").alias("l"), F.col("comp").alias("lcomp"), F.col("n").alias("ln"), "h")
-    fits = (F.col("n") * 100 >= F.col("ln") * percent) & (F.col("ln") * 100 >= F.col("n") * percent)
-    return prefix.join(other, "h").filter((F.col("cls") > F.col("l")) & (F.col("comp") != F.col("lcomp")) & fits).select(F.col("cls").alias("x"), "l").distinct()
+    prefix = written(
+        among.filter(F.col("i") <= F.col("t") - F.ceil(F.col("n") * percent / 100) + 1).select("cls", "comp", "n", "h", (F.col("t") - F.col("i") + 1).alias("rest")), "join-prefix"
+    )
+    other = prefix.select(F.col("cls").alias("l"), F.col("comp").alias("lcomp"), F.col("n").alias("ln"), F.col("rest").alias("lrest"), F.col("h").alias("lh"))
+    # from the first n-gram that a linked pair has in common, either side has at least the whole overlap left
+    least = F.ceil((F.col("n") + F.col("ln")) * percent / (100 + percent) - 1e-9)
+    fits = (F.col("n") * 100 >= F.col("ln") * percent) & (F.col("ln") * 100 >= F.col("n") * percent) & (F.least("rest", "lrest") >= least)
+    return prefix.join(other, (F.col("h") == F.col("lh")) & (F.col("cls") > F.col("l")) & (F.col("comp") != F.col("lcomp")) & fits).select(F.col("cls").alias("x"), "l").distinct()
 
 
 def join(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
