@@ -26,8 +26,11 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Bits of an id, of which all are set in none, and of a place within a word; a rank stands above both.
+ID_BITS, PLACE_BITS = 17, 28
+ID_MASK, RANK_SHIFT = (1 << ID_BITS) - 1, ID_BITS + PLACE_BITS
 #: Larger than any rank.
-NONE = 1 << 40
+NONE = 1 << ID_BITS
 #: Bytes of text, or documents, after which a block of documents is closed.
 BLOCK_BYTES, BLOCK_ROWS = 48 << 20, 60_000
 #: A white-space run that a cut at its single spaces would tear apart.
@@ -61,7 +64,7 @@ def rank_map(ranks: dict[bytes, int]) -> dict[str, np.ndarray]:
         starts[left], widths[left] = len(cells), width
         cells += [-1] * width
         for right, rank in row.items():
-            cells[starts[left] + right % width] = (right << 17) + rank
+            cells[starts[left] + right % width] = (right << ID_BITS) + rank
     pairs = [NONE] * (1 << 16)
     for token, rank in ranks.items():
         if len(token) == 2:
@@ -85,34 +88,39 @@ def _let(value: Column, body) -> Column:
 def merge_fold(ids: Column) -> Column:
     """The ids of one word from the ids of its bytes (array<bigint>).
 
-    The fold's state has the ids and, between two sentinels, the rank of each adjacent pair. A step takes the first pair of the lowest rank and looks up the two
-    ranks that its merge changes.
+    The fold's state has a number for each id: the rank of its pair with the next id, its place and itself, in this order of bits. So the least
+    number is the first pair of the lowest rank. A step merges that pair and looks up the two ranks that change. A sentinel comes first.
     """
     starts, widths, cells, pairs = (F.col(c) for c in ("starts", "widths", "cells", "pairs"))
-    none = F.lit(NONE)
+    none = F.lit(NONE).cast("bigint")
+    own = lambda e: e.bitwiseAND(F.lit(ID_MASK).cast("bigint"))
+    unranked = lambda e: e.bitwiseAND(F.lit((1 << RANK_SHIFT) - 1).cast("bigint"))
 
     def rank(a: Column, b: Column) -> Column:
+        """Shifted to its place in the state; none if either is null."""
         cell = F.get(cells, (F.get(starts, a.cast("int")) + b % F.get(widths, a.cast("int"))).cast("int"))
-        return F.when(F.shiftright(cell, 17) == b, cell.bitwiseAND(F.lit((1 << 17) - 1).cast("bigint"))).otherwise(none)
-
-    def step(acc: Column, _: Column) -> Column:
-        old, r = acc["ids"], acc["r"]
-        n = F.size(old)
+        return F.shiftleft(F.when(F.shiftright(cell, ID_BITS) == b, own(cell)).otherwise(none), RANK_SHIFT)
 
+    def step(state: Column, _: Column) -> Column:
         def merge(m: Column, p: Column) -> Column:
-            return F.struct(
-                F.flatten(F.array(F.slice(old, F.lit(1), p - 2), F.array(m), F.slice(old, p + 1, n))).alias("ids"),
-                F.flatten(
-                    F.array(F.slice(r, F.lit(1), p - 2), F.array(rank(F.get(old, p - 3), m), rank(m, F.get(old, p))), F.slice(r, p + 2, n))
-                ).alias("r"),
+            new, before = F.shiftright(m, RANK_SHIFT), F.get(state, p - 2)
+            merged = rank(new, own(F.get(state, p + 1))) + unranked(m) - own(m) + new
+            return F.flatten(
+                F.array(F.slice(state, F.lit(1), p - 2), F.array(rank(own(before), new) + unranked(before), merged), F.slice(state, p + 2, F.size(state)))
             )
 
-        return _let(F.array_min(r), lambda m: F.when(m == none, acc).otherwise(_let(F.array_position(r, m).cast("int"), lambda p: merge(m, p))))
+        return _let(
+            F.array_min(state),
+            lambda m: F.when(m >= NONE << RANK_SHIFT, state).otherwise(_let(F.array_position(state, m).cast("int"), lambda p: merge(m, p))),
+        )
 
     n = F.size(ids)
-    first = F.zip_with(F.slice(ids, F.lit(1), n - 1), F.slice(ids, F.lit(2), n - 1), lambda a, b: F.get(pairs, (a * 256 + b).cast("int")))
-    start = F.struct(ids.alias("ids"), F.concat(F.array(none), first, F.array(none)).alias("r"))
-    return F.when(n < 2, ids).otherwise(F.aggregate(F.sequence(F.lit(2), n), start, step, lambda acc: acc["ids"]))
+    packed = F.transform(
+        ids,
+        lambda a, i: F.shiftleft(F.coalesce(F.get(pairs, (a * 256 + F.get(ids, i + 1)).cast("int")), none), RANK_SHIFT) + F.shiftleft((i + 1).cast("bigint"), ID_BITS) + a,
+    )
+    start = F.concat(F.array(F.lit((NONE << RANK_SHIFT) + ID_MASK).cast("bigint")), packed)
+    return F.when(n < 2, ids).otherwise(F.aggregate(F.sequence(F.lit(2), n), start, step, lambda s: F.transform(F.slice(s, F.lit(2), F.size(s)), own)))
 
 
 def block_schema() -> str:
