@@ -4,13 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own_root: dict[str, str] = {}
 
 
+def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in slices of about `most` bytes of a string or binary column; a longer row is in a slice of its own."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        starts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // most, prepend=-1)).tolist()
+        for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            yield batch.slice(a, b - a)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

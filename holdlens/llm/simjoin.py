@@ -29,13 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import drop_written, shuffle_partitions, written
+from .common import drop_written, shuffle_partitions, slices, written
 
 U = np.uint64
 #: Bytes of text that are hashed together.
 CHUNK = 1 << 20
 #: Entries that a fragment should hold.
-FRAGMENT = 1_500_000
+FRAGMENT = 1_000_000
 #: Fragments in which a pair's overlap is counted.
 PAIR_FRAGMENTS = 4
 #: Members of a leader that are compared in one part.
@@ -146,7 +146,7 @@ def described(docs: DataFrame, n: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(n)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             sets = hasher.sets(batch.column(1).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([class_of(s) for s in sets], pa.int64())], ["doc_id", "n", "cls"]
@@ -377,7 +377,7 @@ def join(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_i
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(n)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             sets = hasher.sets(batch.column(0).to_pylist())
             keys = np.array([class_of(s) for s in sets], np.int64)
             yield from _dealt(sets, keys, keys, fragments, percent)
@@ -388,7 +388,7 @@ def join(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_i
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher(n)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             sets = hasher.sets(batch.column("text").to_pylist())
             cls = batch.column("cls").to_pylist()
             mine = [(c, len(s), s.tobytes()) for c, s in zip(cls, sets, strict=True) if class_of(s) == c]
@@ -413,7 +413,7 @@ def join(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_i
         return True
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "hashes"):
             own = [np.frombuffer(r, U) for r in batch.column("hashes").to_pylist()]
             yield from _dealt(own, batch.column("cls").to_numpy(), batch.column("comp").to_numpy(), fragments, percent)
 
