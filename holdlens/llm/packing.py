@@ -20,21 +20,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import numbered, written
-from .tokens import PartEncoder
+from .common import numbered, slices, written
+from .tokens import encoder
 
-#: Texts that are encoded together: so many bytes or documents.
-BLOCK_BYTES, BLOCK_ROWS = 32 << 20, 20_000
+#: Bytes of texts that are encoded together.
+BLOCK_BYTES = 32 << 20
 
 
 def pieces(tokenizer_json: str, capacity: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PartEncoder(tokenizer_json)
+        encode = encoder(tokenizer_json).encode
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in slices(batches, "text", BLOCK_BYTES):
             rows = []
             doc_ids = batch.column(0).to_pylist()
-            for doc_id, ids in zip(doc_ids, encoder.encode(batch.column(1).to_pylist()), strict=True):
+            for doc_id, ids in zip(doc_ids, encode(batch.column(1).to_pylist()), strict=True):
                 ids += end
                 n = len(ids) // 4
                 for start in range(0, n, capacity):
