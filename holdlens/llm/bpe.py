@@ -17,24 +17,27 @@ give no rows; further columns are never read. Special tokens' strings are ordina
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+from .tokens import torn
+
 #: Bits of an id, of which all are set in none, and of a place within a word; a rank stands above both.
 ID_BITS, PLACE_BITS = 17, 28
 ID_MASK, RANK_SHIFT = (1 << ID_BITS) - 1, ID_BITS + PLACE_BITS
 #: Larger than any rank.
 NONE = 1 << ID_BITS
-#: Bytes of text, or documents, after which a block of documents is closed.
-BLOCK_BYTES, BLOCK_ROWS = 48 << 20, 60_000
-#: A white-space run that a cut at its single spaces would tear apart.
-TORN = regex.compile(r"\s \s|\s $")
+#: Bytes of text in a block of documents, which an Arrow batch bounds too.
+BLOCK_BYTES = 32 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -145,55 +148,34 @@ def cut(pattern: str, byte_ids: list[int], constants: dict[str, np.ndarray], pie
         one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
         fixed = [*(one(pa.array(x)) for x in constants.values()), one(pa.array(pieces))]
 
-        def flush():
-            raw = [w.encode() for w in words]
-            lens = np.fromiter(map(len, raw), np.int64, len(raw))
-            flat = base[np.frombuffer(b"".join(raw), np.uint8)]
-            inner = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lens)]), pa.int32()), pa.array(flat))
-
-            def lists(rows: list) -> pa.ListArray:
-                at = np.concatenate([[0], np.cumsum([len(x) for x in rows])]).astype(np.int32)
-                flat = np.concatenate([np.asarray(x, np.int32) for x in rows]) if rows else np.zeros(0, np.int32)
-                return pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32()))
-
-            return pa.RecordBatch.from_arrays(
-                [one(pa.array(ids, pa.int64())), one(inner), one(lists(parts)), one(lists(docs)), *fixed], ["ids", "words", "parts", "docs", *constants, "pieces"]
+        for batch in slices(batches, "text", BLOCK_BYTES):
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            apart = [torn(t) for t in texts]
+            units = pc.split_pattern(pa.array(["" if x else t for t, x in zip(texts, apart, strict=True)], pa.string()), " ")
+            edges = units.offsets.to_numpy()
+            coded, firsts = units.flatten().dictionary_encode(), units.flatten().take(pa.array(edges[:-1])).to_pylist()
+            heads: dict[str, int] = {}
+            codes = coded.indices.to_numpy().copy()
+            codes[edges[:-1]] = [
+                len(coded.dictionary) + heads.setdefault(t if x else first, len(heads)) for t, x, first in zip(texts, apart, firsts, strict=True)
+            ]
+            words: dict[str, int] = {}
+            parts, ends = array("i"), array("i", [0])
+            for part in chain((" " + u for u in coded.dictionary.to_numpy(zero_copy_only=False)), heads):
+                parts.extend([words.setdefault(w, len(words)) for w in find(part)])
+                ends.append(len(parts))
+            own = pa.array(list(words), pa.string())
+            at = np.frombuffer(own.buffers()[1], np.int32)[: len(own) + 1] if len(own) else np.zeros(1, np.int32)
+            raw = np.frombuffer(own.buffers()[2], np.uint8)[: at[-1]] if at[-1] else np.zeros(0, np.uint8)
+            inner = pa.ListArray.from_arrays(pa.array(at), pa.array(base[raw]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    one(batch.column("id")), one(inner), one(pa.ListArray.from_arrays(pa.array(np.array(ends)), pa.array(np.array(parts)))),
+                    one(pa.ListArray.from_arrays(pa.array(edges), pa.array(codes))), *fixed,
+                ],
+                ["ids", "words", "parts", "docs", *constants, "pieces"],
             )
 
-        words: dict[str, int] = {}
-        part_no: dict[str, int] = {}
-        parts: list[list[int]] = []
-        ids: list = []
-        docs: list[np.ndarray] = []
-        held = 0
-        for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if not text:
-                    units: list[str] = []
-                elif TORN.search(text):
-                    units = [text]
-                else:
-                    units = text.split(" ")
-                    units[1:] = [" " + u for u in units[1:]]
-                    if not units[0]:
-                        units = units[1:]
-                try:
-                    code = [part_no[u] for u in units]
-                except KeyError:
-                    for u in units:
-                        if u not in part_no:
-                            part_no[u] = len(parts)
-                            parts.append([words.setdefault(w, len(words)) for w in find(u)])
-                    code = [part_no[u] for u in units]
-                ids.append(i)
-                docs.append(np.array(code, np.int32))
-                held += len(text or "")
-                if held >= BLOCK_BYTES or len(ids) >= BLOCK_ROWS:
-                    yield flush()
-                    words, part_no, parts, ids, docs, held = {}, {}, [], [], [], 0
-        if ids:
-            yield flush()
-
     return blocks
 
 
