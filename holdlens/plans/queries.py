@@ -507,3 +507,28 @@ def nested_holdings(spark, sf_dir):
     history = fx.holdings_f1(spark, sf_dir)
     rows = structure.nested_holdings(structure.holdings_history(history, replace(CFG), 5), leaderboard(spark, sf_dir), 20)
     return rows.select("ticker", F.explode("by_etf").alias("ETF_Ticker", "rows")).select("ticker", "ETF_Ticker", F.size("rows").alias("n"), F.element_at("rows", -1)["d"].alias("last_day"))
+
+
+# The operators at their own sizes, on whole inputs. The queries of the same names without _whole keep the sizes that their SQL fixes.
+
+
+@query
+def holdings_history_rank_whole(spark, sf_dir):
+    return structure.holdings_history(fx.holdings_f1(spark, sf_dir), CFG)
+
+
+@query
+def score_sparkline_whole(spark, sf_dir):
+    return structure.score_sparkline(_boards(spark, sf_dir)).select("ticker", F.explode("points").alias("p")).select("ticker", "p.d", "p.s")
+
+
+@query
+def sim_underlyings_whole(spark, sf_dir):
+    return markets.sim_underlyings(fx.series_f5(spark, sf_dir))
+
+
+@query
+def nested_holdings_whole(spark, sf_dir):
+    history = fx.holdings_f1(spark, sf_dir)
+    rows = structure.nested_holdings(structure.holdings_history(history, CFG), leaderboard(spark, sf_dir))
+    return rows.select("ticker", F.explode("by_etf").alias("ETF_Ticker", "rows")).select("ticker", "ETF_Ticker", F.size("rows").alias("n"), F.element_at("rows", -1)["d"].alias("last_day"))
