@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleaning
@@ -532,3 +532,32 @@ def nested_holdings_whole(spark, sf_dir):
     history = fx.holdings_f1(spark, sf_dir)
     rows = structure.nested_holdings(structure.holdings_history(history, CFG), leaderboard(spark, sf_dir))
     return rows.select("ticker", F.explode("by_etf").alias("ETF_Ticker", "rows")).select("ticker", "ETF_Ticker", F.size("rows").alias("n"), F.element_at("rows", -1)["d"].alias("last_day"))
+
+
+#: The steps of the reference's slider.
+LEVERAGES = [x / 2 for x in range(-10, 11)]
+
+
+def _relative(column: str, digits: int = 9) -> Column:
+    """A number rounded to so many significant digits: paths of high leverage differ by many powers of ten."""
+    c = F.col(column)
+    unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))) - (digits - 1))
+    return F.when(c == 0, c).otherwise(F.round(c / unit) * unit).alias(column)
+
+
+@query
+def nav_simulation_whole(spark, sf_dir):
+    paths = simulator.simulate(simulator.daily_returns(fx.series_f5(spark, sf_dir)), [2.0])
+    return paths.select("symbol", "leverage", "i", "date", _relative("nav"), _relative("underlying"))
+
+
+@query
+def synthetic_simulation_whole(spark, sf_dir):
+    paths = simulator.simulate(simulator.synthetic_returns(spark), [3.0])
+    return paths.select("leverage", "i", F.round("nav", 6).alias("nav"), F.round("underlying", 6).alias("underlying"))
+
+
+@query
+def leverage_grid_whole(spark, sf_dir):
+    rows = simulator.summary(simulator.simulate(simulator.daily_returns(fx.series_f5(spark, sf_dir)), LEVERAGES))
+    return rows.select("symbol", "leverage", *[_relative(c) for c in ("etn_total_pct", "underlying_total_pct", "drag_pct", "sigma_d", "annual_decay")], "sessions")

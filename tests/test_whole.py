@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 from holdlens.plans.oracles import ORACLES
-from holdlens.plans.queries import QUERIES
+from holdlens.plans.queries import LEVERAGES, QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
@@ -43,3 +43,14 @@ def test_own_sizes(spark):
     rows = compare(spark, "sim_underlyings_whole", ("back <= 500", "back <= 2520"))
     assert len(rows) > 6 * 2400
     assert len({r[0] for r in compare(spark, "nested_holdings_whole", ("<= 20 ", "<= 300 "), ("- 5 ", "- 120 "))}) > 20
+
+
+def test_simulator_windows(spark):
+    from holdlens.plans.oracles import _F4, _F5
+
+    rows = compare(spark, "nav_simulation_whole", (_F4, _F5), ("back <= 21", "back <= 252"), ("round(nav, 4)", "nav"), ("round(u, 4)", "u"))
+    assert len(rows) == 6 * 251
+    assert len(compare(spark, "synthetic_simulation_whole", ("range(30)", "range(252)"))) == 252
+    steps = ", ".join(f"({x}::DOUBLE)" for x in LEVERAGES)
+    rows = compare(spark, "leverage_grid_whole", (_F4, _F5), ("back <= 15", "back <= 252"), ("r / 10", "r"), ("(-3.0::DOUBLE), (-1.0), (1.0), (2.0), (3.0)", steps))
+    assert len(rows) == 6 * 21 and {r[1] for r in rows} >= {-5.0, 5.0} and {r[-1] for r in rows} == {251}
