@@ -561,3 +561,14 @@ def synthetic_simulation_whole(spark, sf_dir):
 def leverage_grid_whole(spark, sf_dir):
     rows = simulator.summary(simulator.simulate(simulator.daily_returns(fx.series_f5(spark, sf_dir)), LEVERAGES))
     return rows.select("symbol", "leverage", *[_relative(c) for c in ("etn_total_pct", "underlying_total_pct", "drag_pct", "sigma_d", "annual_decay")], "sessions")
+
+
+@query
+def cumulative_returns_whole(spark, sf_dir):
+    return backtest.cumulative_returns(_trades(spark, sf_dir, *STRATEGIES))
+
+
+@query
+def return_at_date_whole(spark, sf_dir):
+    done = backtest.cumulative_returns(_trades(spark, sf_dir, *STRATEGIES))
+    return backtest.return_at_date(done, _boards(spark, sf_dir).select(F.col("snapshot_date").alias("date")))

@@ -54,3 +54,11 @@ def test_simulator_windows(spark):
     steps = ", ".join(f"({x}::DOUBLE)" for x in LEVERAGES)
     rows = compare(spark, "leverage_grid_whole", (_F4, _F5), ("back <= 15", "back <= 252"), ("r / 10", "r"), ("(-3.0::DOUBLE), (-1.0), (1.0), (2.0), (3.0)", steps))
     assert len(rows) == 6 * 21 and {r[1] for r in rows} >= {-5.0, 5.0} and {r[-1] for r in rows} == {251}
+
+
+def test_all_strategies(spark):
+    five = {"hc_entry", "burst_trigger", "top10_score", "top10_velocity", "baseline"}
+    some = {r[0] for r in compare(spark, "trade_stats")}
+    for name in ("cumulative_returns_whole", "return_at_date_whole"):
+        got = {r[0] for r in compare(spark, name, (" AND strategy IN ('hc_entry', 'top10_score')", ""))}
+        assert got == some <= five and len(got) > 2
