@@ -53,14 +53,14 @@ def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deltas.rank_deltas(fx.holdings_f1(spark, sf_dir), CFG)
 
 
-def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _enriched(spark: SparkSession, sf_dir: str, *, gaps: bool = True) -> DataFrame:
     boards = _boards(spark, sf_dir).persist()
     last = boards.agg(F.max("snapshot_date")).scalar()
     today = boards.filter(F.col("snapshot_date") == last).drop("snapshot_date")
     then = boards.filter(F.col("snapshot_date") == signals.nearest_snapshot(boards))
     ranks = signals.global_rank_motion(boards).filter(F.col("snapshot_date") == last)
     rows = signals.velocity(today, signals.mean_motion(_deltas(spark, sf_dir)), ranks, temporal.streaks_and_deltas(boards), then)
-    return signals.with_metadata(signals.classified(rows), fx.metadata_f6(spark, sf_dir))
+    return signals.with_metadata(signals.classified(rows), fx.metadata_f6(spark, sf_dir, gaps=gaps))
 
 
 def _history_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,8 +308,8 @@ def quality_change(spark, sf_dir):
     return signals.quality_change(_boards(spark, sf_dir), CFG)
 
 
-def _flow(spark, sf_dir, dimension):
-    return structure.flow(_enriched(spark, sf_dir), (dimension,)).drop("dimension")
+def _flow(spark, sf_dir, dimension, *, gaps=True):
+    return structure.flow(_enriched(spark, sf_dir, gaps=gaps), (dimension,)).drop("dimension")
 
 
 @query
@@ -572,3 +572,27 @@ def cumulative_returns_whole(spark, sf_dir):
 def return_at_date_whole(spark, sf_dir):
     done = backtest.cumulative_returns(_trades(spark, sf_dir, *STRATEGIES))
     return backtest.return_at_date(done, _boards(spark, sf_dir).select(F.col("snapshot_date").alias("date")))
+
+
+@query
+def backup_arbitration_whole(spark, sf_dir):
+    """All funds and days against a backup that is a day older for one fund, as old for another and a day newer for the others."""
+    h = fx.holdings_f1(spark, sf_dir)
+    backup = h.withColumn("Holdings_As_Of", F.date_add("Holdings_As_Of", F.when(F.col("ETF_Ticker") == "view", -1).when(F.col("ETF_Ticker") == "error", 0).otherwise(1)))
+    return ingest.arbitrated(h, backup).select("ETF_Ticker", "ticker", "Holdings_As_Of", "origin")
+
+
+@query
+def holdings_dedupe_whole(spark, sf_dir):
+    merged = sanitize.merged(fx.holdings_f2(spark, sf_dir).withColumn("ticker", F.regexp_replace("ticker", r"\d$", "")), F.col("name"))
+    return merged.select("ETF_Ticker", "ticker", "name", F.round("weight", 9).alias("weight"), "Holdings_As_Of")
+
+
+@query
+def sector_flow_whole(spark, sf_dir):
+    return _flow(spark, sf_dir, "sector", gaps=False)
+
+
+@query
+def country_flow_whole(spark, sf_dir):
+    return _flow(spark, sf_dir, "country", gaps=False)

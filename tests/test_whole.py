@@ -5,6 +5,7 @@ import os
 import duckdb
 import pytest
 
+from holdlens.operators import signals
 from holdlens.plans.oracles import ORACLES
 from holdlens.plans.queries import LEVERAGES, QUERIES
 
@@ -62,3 +63,21 @@ def test_all_strategies(spark):
     for name in ("cumulative_returns_whole", "return_at_date_whole"):
         got = {r[0] for r in compare(spark, name, (" AND strategy IN ('hc_entry', 'top10_score')", ""))}
         assert got == some <= five and len(got) > 2
+
+
+def test_whole_inputs(spark):
+    rows = compare(
+        spark, "backup_arbitration_whole", ("SELECT * FROM h WHERE day(d) = 10 AND etf IN ('click','view','error')", "SELECT * FROM h"),
+        ("SELECT * FROM h WHERE etf IN ('click','view','signup') AND day(d) = CASE WHEN etf = 'view' THEN 9 ELSE 11 END", "SELECT * REPLACE (d + CASE etf WHEN 'view' THEN -1 WHEN 'error' THEN 0 ELSE 1 END AS d) FROM h"),
+    )
+    assert {(r[0], r[3]) for r in rows} == {("view", "primary"), ("error", "primary"), ("click", "backup"), ("signup", "backup"), ("purchase", "backup")}
+    assert "P" in {r[1] for r in compare(spark, "holdings_dedupe_whole", (r" WHERE regexp_replace(ticker, '\d$', '') <> 'P'", ""))}
+    for name in ("sector_flow_whole", "country_flow_whole"):
+        assert "Unknown" not in {r[0] for r in compare(spark, name, (" WHERE c_custkey % 3 <> 0", ""))}
+
+
+def test_unknown_metadata(spark):
+    rows = spark.createDataFrame([("A",), ("B",)], "ticker string")
+    known = spark.createDataFrame([("A", "Tech", "Chips", "US", 1.0)], "ticker string, sector string, industry string, country string, market_cap_usd double")
+    got = {r["ticker"]: (r["sector"], r["country"]) for r in signals.with_metadata(rows, known).collect()}
+    assert got == {"A": ("Tech", "US"), "B": ("Unknown", "Unknown")}
