@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 
 #: What a candidate looks like; the first alternative that fits names the kind.
 KINDS = {
-    "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,4000}-----END [A-Z ]{0,20}PRIVATE KEY-----",
+    "private_key": r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----\s*(?:[A-Za-z][A-Za-z0-9-]*:[^\r\n]*\s+)*+[A-Za-z0-9+/=\s\\]{16,}+-----END [A-Z ]{0,20}PRIVATE KEY-----",
     "cloud_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "service_token": r"\b(?:gh[pousr]_|glpat-|xox[baprs]-|sk_live_|sk-)[A-Za-z0-9_-]{16,}",
     "jwt": r"\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]*",
-    "assignment": r"(?i:\b(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth)) ?[=:] ?[\"']?[^\s\"']{6,}",
-    "random_text": r"\b(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[A-Za-z0-9+/_-]{24,}",
+    "assignment": r"\b(?=[A-Za-z0-9+/_-]*+[\"']?[ \t]*[=:])[A-Za-z0-9+/_-]*?(?i:(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth)(?:key|[_-][A-Za-z0-9_-]*+)?)[\"']?[ \t]*[=:][ \t]*[\"']?(?!-----BEGIN )[^\s\"']{6,}",
+    "random_text": r"\b(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{24,}",
 }
 PATTERN = "|".join(KINDS.values())
 DICTIONARY = (
@@ -73,7 +73,7 @@ def described(docs: DataFrame, text: Column, path: Column) -> DataFrame:
         "near_other": f"CAST((right(c.left, 40) || ' ' || left(c.right, 40)) RLIKE {_text(NEAR_OTHER)} AS DOUBLE)",
         "kind_no": "CAST(array_position(array(" + ", ".join(map(_text, KINDS)) + "), c.kind) AS DOUBLE)",
     }
-    value = f"CASE WHEN c.kind = 'assignment' THEN regexp_extract(c.m, {_text('[=:] ?[\"' + chr(39) + ']?(.*)$')}, 1) ELSE c.m END"
+    value = f"CASE WHEN c.kind = 'assignment' THEN regexp_extract(c.m, {_text('[=:][ \\t]*[\"' + chr(39) + ']?(.*)$')}, 1) ELSE c.m END"
     named = ", ".join(f"'{k}', CAST({v} AS DOUBLE)" for k, v in features.items())
     placed = "transform(scan_raw, (c, i) -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', CAST(aggregate(slice(scan_raw, 1, i + 1), 0L, (n, x) -> n + length(x.left) + length(x.m)) - length(c.m) AS BIGINT)))"
     return (
