@@ -71,17 +71,29 @@ def _row(found: set[str], index: dict[str, int]) -> np.ndarray:
     return np.array(sorted({index[f] for w in found for f in features(w) if f in index}), np.int64)
 
 
-def counterfactual_pairs(texts: list[set[str]], index: dict[str, int], most: int = 5000) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Feature rows before and after each swap of an identity term."""
-    pairs = []
-    sources = [words(t.format(term)) for t in TEMPLATES for term in _GROUP] + texts
-    for found in sources:
-        for term in found & _GROUP.keys():
+def counterfactual_pairs(texts: list[set[str]], index: dict[str, int]) -> dict[tuple[tuple[int, ...], tuple[int, ...]], int]:
+    """(features lost, features gained) -> how many swaps of an identity term make this difference, over all texts and templates."""
+    own = {t: frozenset(index[f] for f in features(t) if f in index) for t in _GROUP}
+    shared = frozenset().union(*own.values())
+    seen: dict[str, frozenset[int]] = {}
+    pairs: dict[tuple[tuple[int, ...], tuple[int, ...]], int] = {}
+    for found in [words(t.format(term)) for t in TEMPLATES for term in _GROUP] + texts:
+        terms = found & _GROUP.keys()
+        if not terms:
+            continue
+        cover: dict[int, int] = {}
+        for w in found:
+            if w not in seen:
+                seen[w] = shared.intersection(index[f] for f in features(w) if f in index)
+            for i in seen[w]:
+                cover[i] = cover.get(i, 0) + 1
+        for term in terms:
             for other in _GROUP[term]:
-                if other != term and len(pairs) < most:
-                    a, b = _row(found, index), _row((found - {term}) | {other}, index)
-                    if len(np.setxor1d(a, b)):
-                        pairs.append((a, b))
+                if other != term:
+                    lost = tuple(sorted(i for i in own[term] - own[other] if cover[i] == 1))
+                    gained = tuple(sorted(i for i in own[other] if not cover.get(i)))
+                    if lost or gained:
+                        pairs[lost, gained] = pairs.get((lost, gained), 0) + 1
     return pairs
 
 
@@ -112,10 +124,12 @@ def fit(rows: list[tuple[str, int]], chosen: list[str], *, l1: float, swap_penal
     x = [_row(t, index) for t in texts]
     y = np.array([v for _, v in rows], float)
     at, cols = np.repeat(np.arange(len(x)), [len(r) for r in x]), np.concatenate([*x, np.zeros(0, np.int64)])
-    pairs = counterfactual_pairs(texts, index)
-    pat = np.concatenate([np.full(len(a) + len(b), i) for i, (a, b) in enumerate(pairs)] + [np.zeros(0, int)]).astype(int)
-    pcols = np.concatenate([np.concatenate([a, b]) for a, b in pairs] + [np.zeros(0, int)]).astype(int)
-    psign = np.concatenate([np.concatenate([np.ones(len(a)), -np.ones(len(b))]) for a, b in pairs] + [np.zeros(0)])
+    counted = counterfactual_pairs(texts, index)
+    pairs = sorted(counted)
+    pweight = np.array([counted[p] for p in pairs], float) / max(sum(counted.values()), 1)
+    pat = np.repeat(np.arange(len(pairs)), [len(a) + len(b) for a, b in pairs])
+    pcols = np.array([i for a, b in pairs for i in (*a, *b)], np.int64)
+    psign = np.array([s for a, b in pairs for s in (*[1.0] * len(a), *[-1.0] * len(b))])
     # both labels weigh the same
     share = y.mean()
     weight = np.where(y == 1, 0.5 / max(share, 1e-9), 0.5 / max(1 - share, 1e-9)) / len(y)
@@ -123,14 +137,14 @@ def fit(rows: list[tuple[str, int]], chosen: list[str], *, l1: float, swap_penal
     v, vb, momentum = w.copy(), b, 1.0
     # 1 / (a bound of the gradient's Lipschitz constant)
     lengths = np.array([len(r) + 1 for r in x])
-    step = 1.0 / (0.25 * float(weight @ lengths) + 2 * swap_penalty * (len(pcols) / len(pairs) if pairs else 0))
+    step = 1.0 / (0.25 * float(weight @ lengths) + 2 * swap_penalty * float(pweight[pat].sum()))
     for _ in range(rounds):
         z = vb + np.bincount(at, v[cols], len(x))
         g = weight * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y)
         grad = np.bincount(cols, g[at], len(chosen))
         if len(pairs):
-            change = np.bincount(pat, psign * v[pcols], len(pairs))
-            grad += 2 * swap_penalty * np.bincount(pcols, psign * change[pat], len(chosen)) / len(pairs)
+            change = pweight * np.bincount(pat, psign * v[pcols], len(pairs))
+            grad += 2 * swap_penalty * np.bincount(pcols, psign * change[pat], len(chosen))
         new = v - step * grad
         new = np.sign(new) * np.maximum(np.abs(new) - step * l1, 0)
         new_b = vb - step * g.sum()
@@ -162,7 +176,7 @@ def train(
     counts = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return Classifier({}, np.zeros(0), 50.0 if counts.get(1) else -50.0)
-    chosen = vocabulary(rows.select("text", "y"), (counts[0], counts[1]), vocabulary_size, least_rows if sum(counts.values()) > 100 else 1)
+    chosen = vocabulary(rows.select("text", "y"), (counts[0], counts[1]), vocabulary_size, least_rows)
     terms = set(_GROUP)
     wanted = set(chosen)
 

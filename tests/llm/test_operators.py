@@ -348,6 +348,22 @@ def test_toxicity(spark, empty):
     assert {r["score"] for r in toxicity.classify(docs, rows.limit(0)).collect()} == {1 / (1 + np.exp(50.0))}
 
 
+def test_all_swaps_count():
+    rng = random.Random(3)
+    terms = list(toxicity._GROUP)
+    texts = [{*rng.choices(terms, k=4), *rng.choices(WORDS, k=5), rng.choice(("whiteboard", "menace", "transport"))} for _ in range(900)]
+    vocabulary = sorted({f for t in [*terms, "whiteboard", "menace", "transport"] for f in toxicity.features(t)})
+    index = {f: i for i, f in enumerate(vocabulary) if i % 7}
+    want = collections.Counter()
+    for found in [toxicity.words(t.format(x)) for t in toxicity.TEMPLATES for x in terms] + texts:
+        for term in found & toxicity._GROUP.keys():
+            for other in toxicity._GROUP[term]:
+                a, b = set(toxicity._row(found, index)), set(toxicity._row((found - {term}) | {other}, index))
+                if other != term and a != b:
+                    want[tuple(sorted(a - b)), tuple(sorted(b - a))] += 1
+    assert toxicity.counterfactual_pairs(texts, index) == want and sum(want.values()) > 5000
+
+
 def test_numbered(spark):
     rows = numbered(spark.range(500).select((F.col("id") % 3).alias("k"), "id"), ["k"], ["id"], "no").collect()
     for k in range(3):
