@@ -140,6 +140,21 @@ def test_bpe(spark, docs, texts, ranks, empty):
         assert got[i]["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert got[i]["decoded_sha256"] == hashlib.sha256((t or "").encode()).hexdigest()
     assert bpe.encode(empty, ranks=ranks, pattern=public_tokenizers.PATTERN).count() == 0
+    nulls = bpe.encode(frame(spark, ["a b", "a b", None], [None, 1, 1]), ranks=ranks, pattern=public_tokenizers.PATTERN).collect()
+    assert sorted((r["doc_id"] or 0, r["n_tokens"]) for r in nulls) == [(0, 2), (1, 0), (1, 2)]
+
+
+def test_bpe_long_words(spark, ranks, monkeypatch):
+    """Words beyond LONG: cut where no token spans, or folded in chunks where every place is spanned; several blocks in one split."""
+    monkeypatch.setattr(bpe, "WORD_BYTES", 3000)
+    reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = random.Random(4)
+    texts = [c * n for c in ("a", "ab", "é", "=", " ", "\n", "日") for n in (bpe.LONG - 1, bpe.LONG, 1301)]
+    texts += ["".join(rng.choices(letters, k=rng.randint(400, 2500))) for letters in ("ther", "abcdefgh", "abcdefghijklmnopqrstuvwxyz", "hßeé") for _ in range(8)]
+    got = {r["doc_id"]: r for r in bpe.encode(frame(spark, texts), ranks=ranks, pattern=public_tokenizers.PATTERN).collect()}
+    for i, t in enumerate(texts):
+        assert bytes(got[i]["ids_le"]) == np.array(reference.encode_ordinary(t), "<u4").tobytes(), t[:40]
+        assert bytes(got[i]["decoded"]) == t.encode()
 
 
 @pytest.fixture(scope="module")
