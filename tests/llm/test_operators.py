@@ -371,22 +371,40 @@ def test_toxicity(spark, empty):
     assert kept.columns == docs.columns and kept.count() == sum(not r["predicted"] for r in got.values())
     assert toxicity.classify(empty, rows).count() == 0
     assert {r["score"] for r in toxicity.classify(docs, rows.limit(0)).collect()} == {1 / (1 + np.exp(50.0))}
+    repeated = toxicity.classify(docs.unionByName(docs).unionByName(frame(spark, ["no one's"], [None])), rows.unionByName(rows)).collect()
+    assert len(repeated) == 2 * len(got) + 1 and all(abs(r["score"] - got[r["doc_id"]]["score"]) < 1e-9 for r in repeated if r["doc_id"] is not None)
+    assert [r["held_out"] for r in repeated if r["doc_id"] is None] == [False]
 
 
 def test_all_swaps_count():
     rng = random.Random(3)
     terms = list(toxicity._GROUP)
-    texts = [{*rng.choices(terms, k=4), *rng.choices(WORDS, k=5), rng.choice(("whiteboard", "menace", "transport"))} for _ in range(900)]
+    sentences = [{*rng.choices(terms, k=4), *rng.choices(WORDS, k=5), rng.choice(("whiteboard", "menace", "transport"))} for _ in range(900)]
     vocabulary = sorted({f for t in [*terms, "whiteboard", "menace", "transport"] for f in toxicity.features(t)})
     index = {f: i for i, f in enumerate(vocabulary) if i % 7}
+    of = lambda words: {index[f] for w in words for f in toxicity.features(w) if f in index}
     want = collections.Counter()
-    for found in [toxicity.words(t.format(x)) for t in toxicity.TEMPLATES for x in terms] + texts:
+    for found in sentences:
         for term in found & toxicity._GROUP.keys():
             for other in toxicity._GROUP[term]:
-                a, b = set(toxicity._row(found, index)), set(toxicity._row((found - {term}) | {other}, index))
+                a, b = of(found), of((found - {term}) | {other})
                 if other != term and a != b:
                     want[tuple(sorted(a - b)), tuple(sorted(b - a))] += 1
-    assert toxicity.counterfactual_pairs(texts, index) == want and sum(want.values()) > 5000
+    assert toxicity.swaps(iter(sentences), index) == want and sum(want.values()) > 5000
+    assert list(toxicity.sentence_words("the women met. no term here! a gay, deaf\nman")) == [{"the", "women", "met"}, {"a", "gay", "deaf"}]
+
+
+def test_toxicity_passes_equal_plain_python():
+    """Word lists, features and scores of Arrow kernels against sets of strings."""
+    rng = random.Random(6)
+    texts = ["".join(rng.choices("abcdeé ÄßX1_.-\n", k=rng.randint(0, 60))) for _ in range(300)] + ["", None, "abcdefgh" * 500]
+    of = lambda t: {f for w in re.findall(r"[^\W\d_]+", (t or "").lower()) for f in toxicity.features(w)}
+    chosen = sorted({f for t in texts for f in of(t)})[::3]
+    weights = np.array([rng.uniform(-2, 2) for _ in chosen])
+    got = toxicity.Classifier(chosen, weights, -0.5).scores(toxicity.pa.array(texts, toxicity.pa.string()))
+    by_name = dict(zip(chosen, weights, strict=True))
+    want = [1 / (1 + np.exp(-(-0.5 + sum(by_name.get(f, 0) for f in of(t))))) for t in texts]
+    assert np.allclose(got, want, atol=1e-12)
 
 
 def test_numbered(spark):
