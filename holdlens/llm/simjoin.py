@@ -28,6 +28,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import drop_written, shuffle_partitions, slices, written
 
@@ -35,12 +36,14 @@ U = np.uint64
 #: Bytes of text that are hashed together.
 CHUNK = 1 << 20
 #: Entries that a fragment should hold.
-FRAGMENT = 1_000_000
+FRAGMENT = 500_000
 #: Fragments in which a pair's overlap is counted.
 PAIR_FRAGMENTS = 4
 #: Members of a leader that are compared in one part.
 SALT_ROWS = 2000
 KEYS_PER_ROUND, ROUNDS = 2, 3
+#: Words of 64 bits of a signature; a power of two.
+SIGNATURE = 8
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -155,64 +158,77 @@ def described(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id bigint, n bigint, cls bigint")
 
 
-ENTRIES = "frag int, kind int, hashes binary, keys binary, labels binary"
+ENTRIES = "frag int, kind int, hashes binary, codes binary, keys binary, labels binary"
+KINDS = (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
+#: A fragment's row names an n-gram by the low half of its hash; the fragment follows from the high half.
+LOW = U(0xFFFFFFFF)
+
+
+def _grouped(hashes: np.ndarray, codes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Entries by n-gram: hashes, codes, where each n-gram begins, whether its codes have several labels."""
+    order = np.argsort(hashes, kind="stable")
+    hashes, codes = hashes[order], codes[order]
+    first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+    own = labels[codes]
+    return hashes, codes, first, np.minimum.reduceat(own, first) != np.maximum.reduceat(own, first)
 
 
 def _dealt(sets: list[np.ndarray], keys: np.ndarray, labels: np.ndarray, fragments: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """A block's entries by fragment; n-grams under several labels of the block are counted here and sent as one marker."""
-    prefixes = [s[: half(len(s), percent)] for s in sets]
+    """A block's entries by fragment; n-grams under several labels of the block are counted here and sent as one marker.
+
+    A row has the n-grams of one fragment, 4 bytes each, with a code of 2 or 4 bytes into the row's own keys and labels.
+    """
+    same = labels is keys
+    keys, at = np.unique(keys, return_index=True)
+    prefixes, labels = [sets[i][: half(len(sets[i]), percent)] for i in at], labels[at]
     lens = np.array([len(p) for p in prefixes])
     if not lens.sum():
         return
-    h = np.concatenate(prefixes)
-    key, label = np.repeat(keys, lens), np.repeat(labels, lens)
-    order = np.lexsort((key, label, h))
-    h, key, label = h[order], key[order], label[order]
-    new = np.concatenate([[True], (h[1:] != h[:-1]) | (key[1:] != key[:-1]) | (label[1:] != label[:-1])])
-    h, key, label = h[new], key[new], label[new]
-    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-    last = np.concatenate([first[1:], [len(h)]])
-    many = label[first] != label[last - 1]
-    in_many = np.repeat(many, last - first)
-    found, counts = np.unique(key[in_many], return_counts=True)
+    h, code, first, many = _grouped(np.concatenate(prefixes), np.repeat(np.arange(len(keys), dtype=np.int32), lens), labels)
+    in_many = np.repeat(many, np.diff(first, append=len(h)))
+    counts = np.bincount(code[in_many], minlength=len(keys))
     rows: list[tuple] = []
-    if len(found):
-        rows.append((int(mix(h[:1])[0] % U(fragments)), 1, b"", found.tobytes(), counts.astype(np.int64).tobytes()))
-    rest = ~in_many
-    for kind, x, k, lab in ((0, h[rest], key[rest], label[rest]), (2, h[first[many]], None, None)):
+    if counts.any():
+        found = np.flatnonzero(counts)
+        rows.append((int(mix(h[:1])[0] % U(fragments)), 1, b"", b"", keys[found].tobytes(), counts[found].astype(np.int64).tobytes()))
+    for kind, x, c in ((0, h[~in_many], code[~in_many]), (2, h[first[many]], None)):
         frag = ((x >> U(32)) * U(fragments) >> U(32)).astype(np.int64)
         edges = np.searchsorted(frag, np.arange(fragments + 1))
         for f in np.unique(frag).tolist():
-            a, b = edges[f], edges[f + 1]
-            rows.append((f, kind, x[a:b].tobytes(), b"" if k is None else k[a:b].tobytes(), b"" if lab is None or lab is k else lab[a:b].tobytes()))
+            lo, hi = edges[f], edges[f + 1]
+            low = (x[lo:hi] & LOW).astype("<u4").tobytes()
+            if c is None:
+                rows.append((f, kind, low, b"", b"", b""))
+                continue
+            own, codes = np.unique(c[lo:hi], return_inverse=True)
+            codes = codes.astype("<u2" if len(own) <= 1 << 16 else "<u4").tobytes()
+            rows.append((f, kind, low, codes, keys[own].tobytes(), b"" if same else labels[own].tobytes()))
     columns = list(zip(*rows, strict=True))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()), strict=True)], [x.split()[0] for x in ENTRIES.split(", ")]
-    )
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, KINDS, strict=True)], [x.split()[0] for x in ENTRIES.split(", ")])
 
 
-def _count_shared(same: bool, parts: int):
+def _count_shared(parts: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        get = lambda kind, column, t: np.frombuffer(b"".join(rows.loc[rows["kind"] == kind, column]), t)
-        h, key = get(0, "hashes", U), get(0, "keys", np.int64)
-        label = key if same else get(0, "labels", np.int64)
-        marked = np.unique(get(2, "hashes", U))
-        order = np.lexsort((key, label, h))
-        h, key, label = h[order], key[order], label[order]
-        keys, counts = [get(1, "keys", np.int64)], [get(1, "labels", np.int64)]
-        if len(h):
-            new = np.concatenate([[True], (h[1:] != h[:-1]) | (key[1:] != key[:-1]) | (label[1:] != label[:-1])])
-            h, key, label = h[new], key[new], label[new]
-            first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-            last = np.concatenate([first[1:], [len(h)]])
-            shared = (label[first] != label[last - 1]) | np.isin(h[first], marked)
-            found, n = np.unique(key[np.repeat(shared, last - first)], return_counts=True)
-            keys.append(found)
-            counts.append(n)
-        key, n = _summed(np.concatenate(keys), np.concatenate(counts))
+        entries = rows[rows["kind"] == 0]
+        tables = [np.frombuffer(k, np.int64) for k in entries["keys"]]
+        names = [np.frombuffer(lab, np.int64) if lab else k for lab, k in zip(entries["labels"], tables, strict=True)]
+        ids, first, code_of = np.unique(np.concatenate([*tables, np.zeros(0, np.int64)]), return_index=True, return_inverse=True)
+        labels, at, codes = np.concatenate([*names, np.zeros(0, np.int64)])[first], 0, []
+        for k, c, h in zip(tables, entries["codes"], entries["hashes"], strict=True):
+            codes.append(code_of[at : at + len(k)].astype(np.int32)[np.frombuffer(c, "<u2" if len(c) * 2 == len(h) else "<u4")])
+            at += len(k)
+        counted = [(np.frombuffer(k, np.int64), np.frombuffer(n, np.int64)) for k, n in zip(rows.loc[rows["kind"] == 1, "keys"], rows.loc[rows["kind"] == 1, "labels"], strict=True)]
+        if codes:
+            # a class that several blocks have counts once
+            pairs = np.unique(np.frombuffer(b"".join(entries["hashes"]), "<u4").astype(U) << U(32) | np.concatenate(codes).astype(U))
+            marked = np.unique(np.frombuffer(b"".join(rows.loc[rows["kind"] == 2, "hashes"]), "<u4"))
+            h, code, first, shared = _grouped(pairs >> U(32), (pairs & LOW).astype(np.int32), labels)
+            shared |= np.isin(h[first].astype("<u4"), marked)
+            n = np.bincount(code[np.repeat(shared, np.diff(first, append=len(h)))], minlength=len(ids))
+            counted.append((ids[n > 0], n[n > 0]))
+        key, n = _summed(np.concatenate([k for k, _ in counted] or [np.zeros(0, np.int64)]), np.concatenate([n for _, n in counted] or [np.zeros(0, np.int64)]))
         # packed by the part that sums them up: a row for each part, not for each class and fragment
-        part = (mix(key.astype(U)) % U(parts)).astype(np.int64)
-        return _packed(key, n, part)
+        return _packed(key, n, (mix(key.astype(U)) % U(parts)).astype(np.int64))
 
     return run
 
@@ -228,20 +244,22 @@ def _packed(key: np.ndarray, n: np.ndarray, part: np.ndarray) -> pd.DataFrame:
     found, first = np.unique(part, return_index=True)
     edges = [*first.tolist(), len(part)]
     return pd.DataFrame({
-        "part": found, "keys": [key[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)], "counts": [n[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)],
+        "part": found, "keys": [key[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)],
+        "counts": [n[a:b].astype("<u4").tobytes() for a, b in zip(edges, edges[1:], strict=False)],
     })
 
 
 def _add_up(rows: pd.DataFrame) -> pd.DataFrame:
-    get = lambda c: np.frombuffer(b"".join(rows[c]), np.int64)
-    key, n = _summed(get("keys"), get("counts"))
+    key, n = _summed(np.frombuffer(b"".join(rows["keys"]), np.int64), np.frombuffer(b"".join(rows["counts"]), "<u4"))
     return pd.DataFrame({"key": key, "shared": n})
 
 
-def shared_counts(entries: DataFrame, same: bool) -> DataFrame:
-    """key, shared: at least the number of the key's entries that another label has too (more only if a key is in several blocks)."""
-    parts = shuffle_partitions(entries.sparkSession)
-    counted = entries.groupBy("frag").applyInPandas(_count_shared(same, parts), "part bigint, keys binary, counts binary")
+def shared_counts(entries: DataFrame, parts: int) -> DataFrame:
+    """key, shared: at least the number of the key's entries that another label has too.
+
+    It is more if a key is in several blocks or halves of hashes are equal; the counts only choose what is looked at more closely.
+    """
+    counted = entries.groupBy("frag").applyInPandas(_count_shared(parts), "part bigint, keys binary, counts binary")
     return counted.groupBy("part").applyInPandas(_add_up, "key bigint, shared bigint")
 
 
@@ -343,32 +361,53 @@ def led(sets: DataFrame, seed: int, percent: int) -> DataFrame:
 
 
 def by_prefix(sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (x, l) of different components that can link: they meet at one of the first n-grams among those that several components have."""
+    """All pairs (x, l) of different components that can link: they meet at one of the first n-grams among those that several components have.
+
+    A pair's symmetric difference has the n-grams that no other component has, and at least as many others as the parities differ of the
+    two sets' n-grams dealt into 64 * SIGNATURE bits. A pair is left out only where that is more than a link allows.
+    """
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for cls, comp, n, raw in zip(*(batch.column(c).to_pylist() for c in ("cls", "comp", "n", "hashes")), strict=True):
-                h = np.frombuffer(raw, np.int64)
-                same = lambda v: pa.array(np.full(len(h), v), pa.int64())  # noqa: B023, E731
-                yield pa.RecordBatch.from_arrays([same(cls), same(comp), same(n), pa.array(h)], ["cls", "comp", "n", "h"])
+        for batch in slices(batches, "hashes"):
+            sets = [np.frombuffer(r, np.int64) for r in batch.column("hashes").to_pylist()]
+            lens = [len(s) for s in sets]
+            repeated = [pa.array(np.repeat(batch.column(c).to_numpy(), lens), pa.int64()) for c in ("cls", "comp", "n")]
+            yield pa.RecordBatch.from_arrays([*repeated, pa.array(np.concatenate([*sets, np.zeros(0, np.int64)]))], ["cls", "comp", "n", "h"])
 
     rows = written(sets.mapInArrow(grams, "cls bigint, comp bigint, n bigint, h bigint"), "join-grams")
     spread = rows.groupBy("h").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("df")).filter("lo != hi").select("h", "df")
-    among = rows.join(spread, "h").withColumn("i", F.row_number().over(Window.partitionBy("cls").orderBy("df", "h"))).withColumn(
-        "t", F.count(F.lit(1)).over(Window.partitionBy("cls"))
+    of_class = Window.partitionBy("cls")
+    bit = F.expr("shiftleft(1L, CAST(h & 63 AS INT))")
+    signature = [F.bit_xor(F.when(F.shiftright("h", 6).bitwiseAND(F.lit(SIGNATURE - 1)) == k, bit).otherwise(F.lit(0).cast("bigint"))).over(of_class).alias(f"s{k}") for k in range(SIGNATURE)]
+    among = rows.join(spread, "h").select(
+        "*", F.row_number().over(of_class.orderBy("df", "h")).alias("i"), F.count(F.lit(1)).over(of_class).alias("t"), *signature
     )
+    names = [f"s{k}" for k in range(SIGNATURE)]
     prefix = written(
-        among.filter(F.col("i") <= F.col("t") - F.ceil(F.col("n") * percent / 100) + 1).select("cls", "comp", "n", "h", (F.col("t") - F.col("i") + 1).alias("rest")), "join-prefix"
+        among.filter(F.col("i") <= F.col("t") - F.ceil(F.col("n") * percent / 100) + 1)
+        .select("cls", "comp", "n", "h", (F.col("t") - F.col("i") + 1).alias("rest"), (F.col("n") - F.col("t")).alias("alone"), *names), "join-prefix",
     )
-    other = prefix.select(F.col("cls").alias("l"), F.col("comp").alias("lcomp"), F.col("n").alias("ln"), F.col("rest").alias("lrest"), F.col("h").alias("lh"))
+    other = prefix.select(*[F.col(c).alias(f"l{c}") for c in prefix.columns])
+    n, ln = F.col("n"), F.col("ln")
     # from the first n-gram that a linked pair has in common, either side has at least the whole overlap left
-    least = F.ceil((F.col("n") + F.col("ln")) * percent / (100 + percent) - 1e-9)
-    fits = (F.col("n") * 100 >= F.col("ln") * percent) & (F.col("ln") * 100 >= F.col("n") * percent) & (F.least("rest", "lrest") >= least)
-    return prefix.join(other, (F.col("h") == F.col("lh")) & (F.col("cls") > F.col("l")) & (F.col("comp") != F.col("lcomp")) & fits).select(F.col("cls").alias("x"), "l").distinct()
+    least = F.ceil((n + ln) * percent / (100 + percent) - 1e-9)
+    fits = (n * 100 >= ln * percent) & (ln * 100 >= n * percent) & (F.least("rest", "lrest") >= least)
+    differ = F.col("alone") + F.col("lalone")
+    for c in names:
+        differ += F.bit_count(F.col(c).bitwiseXOR(F.col(f"l{c}")))
+    close = differ * (100 + percent) <= (n + ln) * (100 - percent)
+    return prefix.join(other, (F.col("h") == F.col("lh")) & (F.col("cls") > F.col("lcls")) & (F.col("comp") != F.col("lcomp")) & fits & close).select(
+        F.col("cls").alias("x"), F.col("lcls").alias("l")
+    ).distinct()
 
 
 def join(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id reachable by links of Jaccard similarity percent / 100 or more."""
+    return _joined(docs, n=n, percent=percent, id_col=id_col, text_col=text_col)[0].drop("cls")
+
+
+def _joined(docs: DataFrame, *, n: int, percent: int = 75, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """join() with the class of each row, and the components of classes that were looked at (cls, comp)."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = written(described(texts, n), "join-documents")
@@ -382,7 +421,7 @@ def join(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_i
             keys = np.array([class_of(s) for s in sets], np.int64)
             yield from _dealt(sets, keys, keys, fragments, percent)
 
-    shared = shared_counts(texts.select("text").mapInArrow(prefixes, ENTRIES), same=True)
+    shared = shared_counts(texts.select("text").mapInArrow(prefixes, ENTRIES), fragments)
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / 4))
     left = written(classes.join(shared, F.col("cls") == F.col("key")).filter(F.col("shared") >= least).select("cls", "rep", "n"), "join-left")
 
@@ -421,7 +460,7 @@ def join(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_i
     for seed in range(ROUNDS):
         linked = absorb(verified(led(open_sets.join(comps, "cls"), seed, percent), sets, percent))
         with_comp = open_sets.join(comps, "cls")
-        other = shared_counts(with_comp.mapInArrow(across, ENTRIES), same=False)
+        other = shared_counts(with_comp.mapInArrow(across, ENTRIES), fragments)
         open_sets = written(open_sets.join(other, F.col("cls") == F.col("key")).filter(F.col("shared") >= least).select("cls", "n", "hashes"), "join-open")
         if open_sets.isEmpty() or not linked:
             break
@@ -432,11 +471,44 @@ def join(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_i
     first = by_class.groupBy("comp").agg(F.min("rep").alias("component_id"))
     named = by_class.join(first, "comp").select("cls", "component_id")
     return found.join(named, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
-    )
-
-
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of docs that stay, with all their columns: of each component the row with its smallest identifier."""
-    found = join(docs, **options).filter("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(found.select(F.col("doc_id").alias("_kept")), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), "cls"
+    ), comps
+
+
+def keep_one(docs: DataFrame, *, n: int = 5, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of docs that stay, with all their columns: of each component one row with its smallest identifier.
+
+    Of a component's rows that repeat its smallest identifier the one with the least text stays. Rows without words stay, and so do
+    the rows of a component that has no identifier at all.
+    """
+    names = docs.columns
+    found, comps = _joined(docs, n=n, id_col=id_col, text_col=text_col, **options)
+    stay = written(found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("stays"), "cls"), "join-stay")
+    key, flag = F.col(f"`{id_col}`").cast("long"), _free("kept", names)
+    kept = docs.join(stay.select(F.col("stays").alias(flag)).distinct(), key.eqNullSafe(F.col(flag)), "left_semi")
+    unclear = written(stay.groupBy("stays").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1 OR stays IS NULL").select(F.col("stays").alias(flag)), "join-unclear")
+    if unclear.isEmpty():
+        return kept
+    # identifiers with several rows, and null: rows are told apart by their sets
+    text = F.col(f"`{text_col}`").cast("string")
+    several = kept.join(unclear, key.eqNullSafe(F.col(flag)), "left_semi").select(key.alias("doc_id"), text.alias("text"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+
+    def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher(n)
+        for batch in slices(batches, "text"):
+            yield batch.append_column("cls", pa.array([class_of(s) for s in hasher.sets(batch.column("text").to_pylist())], pa.int64()))
+
+    told = several.mapInArrow(classes, T.StructType([*several.schema.fields, T.StructField("cls", T.LongType())]))
+    told = told.join(comps.withColumnRenamed("cls", "c"), F.col("cls") == F.col("c"), "left").withColumn("comp", F.coalesce("comp", "cls"))
+    alone = F.col("cls") == 0  # no words
+    one = told.filter(~alone & F.col("doc_id").isNotNull()).groupBy("doc_id", "comp").agg(F.min_by("row", "text").alias("row")).select("row.*")
+    unnamed = told.filter(F.col("doc_id").isNull() & ~alone).join(stay.filter("stays IS NULL").select(F.col("cls").alias("c2")).distinct(), F.col("cls") == F.col("c2"), "left_semi")
+    clear = kept.join(unclear, key.eqNullSafe(F.col(flag)), "left_anti")
+    return clear.unionByName(one).unionByName(told.filter(alone).select("row.*")).unionByName(unnamed.select("row.*"))
+
+
+def _free(name: str, taken: list[str]) -> str:
+    """A column name that isn't taken."""
+    while name in taken:
+        name = f"_{name}"
+    return name

@@ -107,6 +107,28 @@ def test_ngram_join(docs, texts, empty):
     assert simjoin.join(empty).count() == 0
 
 
+def test_keep_one_repeated_rows(spark, docs, texts, empty):
+    """One row of each component, also where rows or identifiers repeat; rows that no link joins all stay."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = frame(spark, [a, a, a, b, a + " more", c, c, "", "", None], [1, 1, 2, 1, 7, None, None, 3, 3, None])
+    got = collections.Counter((r["doc_id"], r["text"]) for r in simjoin.keep_one(rows).collect())
+    assert got == {(1, a): 1, (1, b): 1, (None, c): 2, (3, ""): 2, (None, None): 1}
+    kept = simjoin.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, (_, c) in components(texts).items() if i == c)
+    assert simjoin.keep_one(empty).count() == 0
+
+
+def test_ngram_join_family(spark, monkeypatch):
+    """Copies of one text with words changed at random: similarities about the threshold, many pairs that don't link."""
+    rng = random.Random(9)
+    monkeypatch.setattr(simjoin, "FRAGMENT", 500)
+    base, texts = [f"b{i}" for i in range(120)], []
+    for rate in (0.01, 0.02, 0.03, 0.05):
+        texts += [" ".join(f"r{rng.randrange(10**6)}" if rng.random() < rate else w for w in base) for _ in range(30)]
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in simjoin.join(frame(spark, texts)).collect()} == components(texts)
+
+
 def test_ngram_join_chains(spark):
     """A window sliding over one long text: neighbours link, ends don't; no leader links with all."""
     w = [f"q{i}" for i in range(400)]
