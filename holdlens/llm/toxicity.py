@@ -53,13 +53,10 @@ def features(word: str) -> list[str]:
 
 
 def word_lists(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """The distinct words of the texts, and for each word of each text its number and the text's: no pair twice."""
+    """The distinct words of the texts, and for each word of each text, in order, its number and the text's."""
     lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), NO_LETTER)
     coded = lists.flatten().dictionary_encode()
-    n = max(len(coded.dictionary), 1)
-    row = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
-    pairs = np.unique(row * n + coded.indices.to_numpy())
-    return coded.dictionary.to_pylist(), pairs % n, pairs // n
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
 
 
 def expanded(words: list[str], code: np.ndarray, row: np.ndarray, numbers: Callable[[str], list[int]], n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -103,8 +100,7 @@ def sentence_words(text: str) -> Iterator[set[str]]:
     """The words of each sentence of a lower-case text."""
     cut = lambda t, pattern: pc.split_pattern_regex(pa.array([t]), pattern).values.to_pylist()
     for sentence in cut(text, SENTENCE_END):
-        if any(t in sentence for t in _GROUP):
-            yield {w for w in cut(sentence, NO_LETTER) if w}
+        yield {w for w in cut(sentence, NO_LETTER) if w}
 
 
 def swaps(sentences: Iterator[set[str]], index: dict[str, int]) -> Counter[Change]:
@@ -133,9 +129,10 @@ def template_sentences() -> Iterator[set[str]]:
 def _changes(index: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            lower = pc.utf8_lower(pc.fill_null(batch.column("text"), ""))
-            named = lower.filter(pc.match_substring_regex(lower, "|".join(_GROUP)))
-            found = swaps((s for t in named.to_pylist() for s in sentence_words(t)), index)
+            words, code, row = word_lists(batch.column("text"))
+            named = np.unique(row[np.isin(code, [i for i, w in enumerate(words) if w in _GROUP])])
+            lower = pc.utf8_lower(batch.column("text").take(pa.array(named))).to_pylist()
+            found = swaps((s for t in lower for s in sentence_words(t)), index)
             keys = list(found)
             yield pa.RecordBatch.from_arrays(
                 [*(pa.array([k[i] for k in keys], pa.list_(pa.int32())) for i in (0, 1)), pa.array([found[k] for k in keys], pa.int64())], ["lost", "gained", "n"]
@@ -162,11 +159,20 @@ class Classifier:
     def __init__(self, chosen: list[str], weights: np.ndarray, bias: float) -> None:
         self.weights = {f: float(w) for f, w in zip(chosen, weights, strict=True) if w}
         self.bias = bias
+        self.seen: dict[str, list[int]] = {}
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         index = {f: i for i, f in enumerate(self.weights)}
         weights = np.array(list(self.weights.values()))
-        numbers = lambda w: [index[f] for f in features(w) if f in index]
+        if len(self.seen) > 500_000:
+            self.seen.clear()
+
+        def numbers(word: str) -> list[int]:
+            own = self.seen.get(word)
+            if own is None:
+                own = self.seen[word] = [index[f] for f in features(word) if f in index]
+            return own
+
         feature, row = expanded(*word_lists(texts), numbers, max(len(index), 1))
         z = self.bias + np.bincount(row, weights=weights[feature] if len(feature) else None, minlength=len(texts))
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
