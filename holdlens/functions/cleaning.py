@@ -43,11 +43,11 @@ def weight_number(text: Column) -> Column:
 
 
 def as_of_date(text: Column) -> Column:
-    """The first M/D/YYYY or Month D YYYY of a label such as "As of: March 4, 2026"; null if there is none."""
-    bare = F.regexp_replace(F.regexp_replace(F.lower(text), r"as of|date", ""), r"[:,\-]", " ")
-    found = F.regexp_replace(F.regexp_extract(bare, r"(\d{1,2}/\d{1,2}/\d{4}|[a-z]+\s+\d{1,2}\s+\d{4})", 1), r"\s+", " ")
-    named = F.initcap(found)
-    return F.coalesce(*[F.try_to_timestamp(named, F.lit(f)).cast("date") for f in ("M/d/yyyy", "MMMM d yyyy", "MMM d yyyy")])
+    """The first M/D/YYYY or Month D YYYY of a label such as "As of: March 4, 2026", or a label that is M-D-YYYY; null if there is none."""
+    bare = F.trim(F.regexp_replace(text, r"(?i)as of|date|[:,-]", " "))
+    found = F.regexp_extract(bare, r"(\d{1,2}/\d{1,2}/\d{4}|[A-Z][a-z]+\s+\d{1,2}\s+\d{4})", 1)
+    clean = F.initcap(F.regexp_replace(F.when(found != "", found).otherwise(bare), r"\s+", " "))
+    return F.coalesce(*[F.try_to_timestamp(clean, F.lit(f)).cast("date") for f in ("M/d/yyyy", "MMMM d yyyy", "MMM d yyyy", "M d yyyy")])
 
 
 def holdings_label_date(html: Column) -> Column:

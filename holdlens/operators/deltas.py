@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import Config
 from .sanitize import prepared
+from .scoring import as_of_grid, fund_dates
 
 
 def rank_deltas(history: DataFrame, cfg: Config, periods: tuple[int, ...] | None = None) -> DataFrame:
@@ -38,6 +39,23 @@ def rank_deltas(history: DataFrame, cfg: Config, periods: tuple[int, ...] | None
     )
 
 
+def motion_history(history: DataFrame, cfg: Config, snapshots: DataFrame, days: int = 7) -> DataFrame:
+    """snapshot_date, ticker, avg_rank_delta, avg_weight_flow: means over the funds that hold a ticker at a snapshot, against days before.
+
+    A fund's earlier date depends on its date alone, so changes are found once for each fund and date and then dealt to the snapshots.
+    """
+    clean = prepared(history, cfg)
+    in_fund = Window.partitionBy("ETF_Ticker", "Holdings_As_Of").orderBy(F.desc("weight"), "ticker")
+    ranked = clean.select("ETF_Ticker", "ticker", "Holdings_As_Of", "weight", F.row_number().over(in_fund).alias("rank"))
+    earlier = F.coalesce(F.array_max(F.filter("dates", lambda d: d <= F.date_sub("Holdings_As_Of", days))), F.array_min("dates"))
+    targets = fund_dates(clean).withColumn("Holdings_As_Of", F.explode("dates")).select("ETF_Ticker", "Holdings_As_Of", earlier.alias("then"))
+    grid = as_of_grid(clean, snapshots).join(targets, ["ETF_Ticker", "Holdings_As_Of"])
+    was = ranked.select("ETF_Ticker", "ticker", F.col("Holdings_As_Of").alias("then"), F.col("rank").alias("rank_then"), F.col("weight").alias("weight_then"))
+    both = ranked.join(grid, ["ETF_Ticker", "Holdings_As_Of"]).join(was, ["ETF_Ticker", "ticker", "then"], "left")
+    flow = F.try_divide(F.col("weight") - F.col("weight_then"), F.nullif(F.col("weight_then"), F.lit(0.0)))
+    return both.groupBy("snapshot_date", "ticker").agg(F.avg(F.col("rank_then") - F.col("rank")).alias("avg_rank_delta"), F.avg(flow).alias("avg_weight_flow"))
+
+
 def primary_period(deltas: DataFrame, cfg: Config) -> DataFrame:
     """The table of the default look-back, or of the first period if that one isn't computed."""
     days = cfg.rank_delta_lookback_days if cfg.rank_delta_lookback_days in cfg.delta_periods_days else cfg.delta_periods_days[0]

@@ -15,12 +15,17 @@ def in_universe(df: DataFrame, cfg: Config) -> DataFrame:
     return df.filter(F.col("ETF_Ticker").isin([f.ticker for f in cfg.funds]))
 
 
-def parsed(df: DataFrame) -> DataFrame:
-    """Dates parsed leniently; rows without date, ticker or weight dropped."""
+def with_dates(df: DataFrame) -> DataFrame:
+    """The contract's columns, dates parsed leniently (null where they can't be)."""
     out = validate_columns(df)
     if dict(df.dtypes)["Holdings_As_Of"] == "string":
         out = out.withColumn("Holdings_As_Of", F.try_to_timestamp("Holdings_As_Of").cast("date"))
-    return out.withColumn("Holdings_As_Of", F.col("Holdings_As_Of").cast("date")).dropna(subset=["Holdings_As_Of", "ticker", "weight"])
+    return out.withColumn("Holdings_As_Of", F.col("Holdings_As_Of").cast("date"))
+
+
+def parsed(df: DataFrame) -> DataFrame:
+    """Dates parsed leniently; rows without date, ticker or weight dropped."""
+    return with_dates(df).dropna(subset=["Holdings_As_Of", "ticker", "weight"])
 
 
 def sanitize(df: DataFrame, cfg: Config) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
-from .sanitize import parsed, prepared
+from .sanitize import prepared, with_dates
 
 
 def rank_multiplier(rank: Column, cfg: Config) -> Column:
@@ -35,12 +35,17 @@ def snapshot_calendar(raw: DataFrame, lookback_days: int | None) -> DataFrame:
     return dates.filter(F.col("snapshot_date") >= F.date_sub(last, lookback_days))
 
 
+def fund_dates(clean: DataFrame) -> DataFrame:
+    """ETF_Ticker, dates: each fund's distinct dates as a sorted array."""
+    return clean.groupBy("ETF_Ticker").agg(F.array_sort(F.collect_set("Holdings_As_Of")).alias("dates"))
+
+
 def as_of_grid(clean: DataFrame, snapshots: DataFrame) -> DataFrame:
     """snapshot_date, ETF_Ticker, Holdings_As_Of: each fund's last date at or before each snapshot.
 
     A fund's distinct dates are one sorted array (days, not rows), so neither a range join nor a window over holdings is needed.
     """
-    dates = clean.groupBy("ETF_Ticker").agg(F.array_sort(F.collect_set("Holdings_As_Of")).alias("dates"))
+    dates = fund_dates(clean)
     all_snaps = snapshots.agg(F.array_sort(F.collect_set("snapshot_date"))).scalar()
     grid = dates.withColumn("snapshot_date", F.explode(all_snaps))
     return grid.select(
@@ -50,11 +55,12 @@ def as_of_grid(clean: DataFrame, snapshots: DataFrame) -> DataFrame:
 
 def scored_holdings(clean: DataFrame, snapshots: DataFrame, cfg: Config) -> DataFrame:
     """Each fund's latest holdings at each snapshot with rank, NEW flag, tier, points and score."""
-    grid = as_of_grid(clean, snapshots)
-    cutoff = grid.groupBy("snapshot_date").agg(F.date_sub(F.max("Holdings_As_Of"), cfg.new_lookback_days).alias("new_since"))
+    # the grid has a row for each fund and snapshot, so its window is small
+    cutoff = F.date_sub(F.max("Holdings_As_Of").over(Window.partitionBy("snapshot_date")), cfg.new_lookback_days)
+    grid = as_of_grid(clean, snapshots).withColumn("new_since", cutoff)
     seen = Window.partitionBy("ETF_Ticker", "ticker")
     rows = clean.withColumn("first_seen", F.min("Holdings_As_Of").over(seen))
-    latest = rows.join(grid.join(cutoff, "snapshot_date"), ["ETF_Ticker", "Holdings_As_Of"])
+    latest = rows.join(grid, ["ETF_Ticker", "Holdings_As_Of"])
     in_fund = Window.partitionBy("snapshot_date", "ETF_Ticker").orderBy(F.desc("weight"), "ticker")
     tier, points = _lookup(F.col("ETF_Ticker"), cfg.fund_tiers()), _lookup(F.col("ETF_Ticker"), {k: float(v) for k, v in cfg.fund_points().items()})
     bonus_tier = F.col("tier").isin(list(cfg.new_bonus_tiers)) if cfg.new_bonus_tiers else F.lit(False)
@@ -108,5 +114,5 @@ def compute_leaderboard(history: DataFrame, cfg: Config, *, as_of: datetime.date
 def historical_leaderboards(history: DataFrame, cfg: Config, *, lookback_days: int | None = -1) -> DataFrame:
     """The leaderboard at every snapshot of the look-back window, long form."""
     days = cfg.leaderboard_lookback_days if lookback_days == -1 else lookback_days
-    calendar = snapshot_calendar(parsed(history), days)
+    calendar = snapshot_calendar(with_dates(history), days)  # of all rows, those without ticker or weight too
     return leaderboards(scored_holdings(prepared(history, cfg), calendar, cfg), cfg)

@@ -90,16 +90,41 @@ def nearest_snapshot(boards: DataFrame, days: int = 30) -> Column:
 
 def velocity(today: DataFrame, motion: DataFrame, ranks: DataFrame, streaks: DataFrame, then: DataFrame) -> DataFrame:
     """today's leaderboard with the velocity columns. then: the leaderboard ~30 days ago (ticker, etf_count)."""
-    clip = lambda c, lo, hi: F.greatest(F.lit(lo), F.least(F.lit(hi), c))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     past = then.select("ticker", F.col("etf_count").alias("past_count"))
     rows = today.join(motion, "ticker", "left").join(ranks.drop("snapshot_date"), "ticker", "left").join(streaks.select("ticker", "score_streak", "score_delta_pct"), "ticker", "left").join(past, "ticker", "left")
     rows = rows.withColumn("etf_count_30d_ago", F.coalesce("past_count", "etf_count")).withColumn("etf_count_delta_30d", F.col("etf_count") - F.coalesce("past_count", "etf_count"))
+    return rows.withColumn("velocity_score", velocity_score()).withColumn("burst_30d", F.coalesce("burst_30d", F.lit(False))).drop("past_count")
+
+
+def velocity_score() -> Column:
+    """The six terms, of columns of these names; unknown ones count as 0."""
+    clip = lambda c, lo, hi: F.greatest(F.lit(lo), F.least(F.lit(hi), c))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     score = (
         0.5 * clip(zero("global_rank_delta_30d"), -200, 200) + 0.25 * clip(zero("global_rank_peak_30d"), 0, 200) + zero("avg_rank_delta_7d")
-        + 20 * zero("avg_weight_flow_7d") + 5 * F.col("etf_count_delta_30d") + clip(zero("score_streak"), -10, 10)
+        + 20 * zero("avg_weight_flow_7d") + 5 * zero("etf_count_delta_30d") + clip(zero("score_streak"), -10, 10)
+    )
+    return F.bround(F.round(score, 6), 2)
+
+
+def velocity_history(boards: DataFrame, motion: DataFrame, streaks: DataFrame) -> DataFrame:
+    """Every snapshot's leaderboard with burst_30d and velocity_score, from that snapshot and earlier ones alone.
+
+    boards: historical_leaderboards(); motion: deltas.motion_history() over 7 days; streaks: temporal.score_streak_history().
+    """
+    calendar = boards.agg(F.array_sort(F.collect_set("snapshot_date"))).scalar()
+    gap = lambda d, day: F.struct(F.abs(F.datediff(d, F.date_sub(day, 30))).alias("gap"), d.alias("d"))
+    days = boards.select("snapshot_date").distinct().withColumn("cal", calendar)
+    near = F.array_min(F.transform(F.filter("cal", lambda d: d <= F.col("snapshot_date")), lambda d: gap(d, F.col("snapshot_date"))))["d"]
+    then = boards.select(F.col("snapshot_date").alias("near"), "ticker", F.col("etf_count").alias("past_count"))
+    counts = boards.select("snapshot_date", "ticker", "etf_count").join(days.select("snapshot_date", near.alias("near")), "snapshot_date").join(then, ["near", "ticker"], "left")
+    counts = counts.select("snapshot_date", "ticker", (F.col("etf_count") - F.coalesce("past_count", "etf_count")).alias("etf_count_delta_30d"))
+    means = motion.select(
+        "snapshot_date", "ticker", F.bround(F.coalesce("avg_rank_delta", F.lit(0.0)), 2).alias("avg_rank_delta_7d"), F.bround(F.coalesce("avg_weight_flow", F.lit(0.0)), 4).alias("avg_weight_flow_7d")
     )
-    return rows.withColumn("velocity_score", F.bround(F.round(score, 6), 2)).withColumn("burst_30d", F.coalesce("burst_30d", F.lit(False))).drop("past_count")
+    key = ["snapshot_date", "ticker"]
+    rows = global_rank_motion(boards).join(means, key, "left").join(streaks.select(*key, "score_streak"), key, "left").join(counts, key, "left")
+    return rows.withColumn("velocity_score", velocity_score())
 
 
 def regime(vel: Column, streak: Column) -> Column:

@@ -10,12 +10,16 @@ from .sanitize import parsed, sanitize
 
 
 def flow(rows: DataFrame, dimensions: tuple[str, ...] = ("sector", "country"), least_etfs: int = 2) -> DataFrame:
-    """dimension, label and sums over tickers of at least least_etfs funds: one pass for all dimensions."""
+    """dimension, label and sums over tickers of at least least_etfs funds: one pass for all dimensions.
+
+    Velocity (2 digits) and weight (6 digits) are summed as decimals, so a sum doesn't depend on the order of its rows.
+    """
+    velocity, weight = F.col("velocity_score").cast("decimal(18,2)"), F.col("total_weight").cast("decimal(18,6)")
     pairs = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("label")) for d in dimensions])).alias("g")
     flat = rows.filter(F.col("etf_count") >= least_etfs).select(pairs, "velocity_score", "total_weight", "burst_30d", "flag").select("g.*", "velocity_score", "total_weight", "burst_30d", "flag")
     return flat.groupBy("dimension", "label").agg(
-        F.round(F.sum("velocity_score"), 2).alias("net_velocity"), F.round(F.avg("velocity_score"), 2).alias("avg_velocity"), F.count(F.lit(1)).alias("names"),
-        F.round(F.sum("total_weight"), 4).alias("total_weight"), F.count_if("burst_30d").alias("burst_count"), F.count_if(F.col("flag") == "HIGH_CONVICTION").alias("hc_count"),
+        F.sum(velocity).cast("double").alias("net_velocity"), F.round(F.sum(velocity) / F.count(F.lit(1)), 2).cast("double").alias("avg_velocity"), F.count(F.lit(1)).alias("names"),
+        F.round(F.sum(weight), 4).cast("double").alias("total_weight"), F.count_if("burst_30d").alias("burst_count"), F.count_if(F.col("flag") == "HIGH_CONVICTION").alias("hc_count"),
     )
 
 

@@ -61,6 +61,15 @@ def streaks_and_deltas(boards: DataFrame) -> DataFrame:
     )
 
 
+def score_streak_history(boards: DataFrame) -> DataFrame:
+    """snapshot_date, ticker, score_streak: the signed run of equal signs of score changes that ends at each observation."""
+    own = Window.partitionBy("ticker").orderBy("snapshot_date")
+    rows = boards.select("snapshot_date", "ticker", F.signum(F.col("final_score") - F.lag("final_score").over(own)).cast("int").alias("sign"))
+    rows = rows.withColumn("run", F.sum(F.coalesce((F.col("sign") != F.lag("sign").over(own)).cast("int"), F.lit(1))).over(own.rowsBetween(Window.unboundedPreceding, 0)))
+    length = F.row_number().over(Window.partitionBy("ticker", "run").orderBy("snapshot_date"))
+    return rows.select("snapshot_date", "ticker", F.coalesce(F.col("sign") * length, F.lit(0)).alias("score_streak"))
+
+
 LOG = ("change", "position", "ticker", "company", "final_score", "etf_count", "tiers", "score_delta", "score_delta_pct", "score_streak")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Config, Fund
@@ -48,20 +48,24 @@ def prices_f3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.groupBy("symbol", "date").agg(F.avg("value").alias("close"))
 
 
+def _close(value: Column) -> Column:
+    """The mean to 4 digits; rounded as a decimal, since many means are ties, on whose side a sum of doubles ends by chance."""
+    return F.round(F.avg(value).cast("decimal(24,8)"), 4).cast("double").alias("close")
+
+
 def series_f4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("symbol"), F.col("ts").cast("date").alias("date")).agg(F.round(F.avg("value"), 4).alias("close"))
+    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("symbol"), F.col("ts").cast("date").alias("date")).agg(_close(F.col("value")))
 
 
 def series_f5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.avg(F.col("l_extendedprice") / F.col("l_quantity"))
-    return table(spark, sf_dir, "lineitem").groupBy(F.concat("l_returnflag", "l_linestatus").alias("symbol"), F.col("l_shipdate").cast("date").alias("date")).agg(F.round(price, 4).alias("close"))
+    price = F.col("l_extendedprice") / F.col("l_quantity")
+    return table(spark, sf_dir, "lineitem").groupBy(F.concat("l_returnflag", "l_linestatus").alias("symbol"), F.col("l_shipdate").cast("date").alias("date")).agg(_close(price))
 
 
-def metadata_f6(spark: SparkSession, sf_dir: str, *, gaps: bool = True) -> DataFrame:
-    """Sector and country of each customer; with gaps, a third of the keys is left out, as FIXTURES.md says."""
+def metadata_f6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sector and country of each customer."""
     nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    customers = table(spark, sf_dir, "customer")
-    return (customers.filter("c_custkey % 3 != 0") if gaps else customers).join(nations, "c_nationkey").select(
+    return table(spark, sf_dir, "customer").join(nations, "c_nationkey").select(
         F.concat(F.lit("U"), F.col("c_custkey")).alias("ticker"), F.col("c_mktsegment").alias("sector"), F.lit("Unknown").alias("industry"), F.col("n_name").alias("country"),
         F.col("c_acctbal").cast("double").alias("market_cap_usd"),
     )

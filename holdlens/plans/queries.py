@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import cleaning
-from ..operators import backtest, deltas, ingest, markets, sanitize, scoring, signals, simulator, structure, temporal
+from .. import shared
+from ..operators import backtest, deltas, explore, ingest, markets, sanitize, scoring, signals, simulator, structure, temporal
+from ..sources import readers, sinks
+from . import documents
 from . import fixtures as fx
 
 CFG = fx.CFG_F1
@@ -34,7 +37,23 @@ HAZARDS = """
     ('QQQM', '.A--B.', 'Dots', 0.0, DATE '2026-05-01', DATE '2026-05-02'), ('NOPE', 'AAPL', 'Apple', 0.5, DATE '2026-05-01', DATE '2026-05-02'),
     ('QQQM', 'NUL', 'No weight', NULL, DATE '2026-05-01', DATE '2026-05-02'), ('QQQM', 'NOD', 'No date', 0.1, NULL, DATE '2026-05-02')"""
 WEIGHTS = "('A', 'x1', '4.5%'), ('A', 'x2', '1,234'), ('A', 'x3', 'n/a'), ('A', 'x4', NULL), ('B', 'y1', '0.05'), ('B', 'y2', '0.95%'), ('C', 'z1', '12.5'), ('C', 'z2', '0.5')"
-LABELS = "('As of: 03/04/2026'), ('Date March 4, 2026'), ('as of 3/4/2026 close'), ('Dec 31, 2025'), ('none'), (NULL), ('as of 13/45/2026')"
+#: Scraped tables: headers, rows.
+HEADED = (
+    ("Identifier, `Security Name`, `% TNA`", "('a1', 'Alpha', '60%'), ('a2', 'Beta', '1,000'), (NULL, 'None', 'x')"),
+    ("`Security Type`, `Security Name`, Ticker, `Change %`, Weight", "('Stock', 'Gamma', 'b1', '3', '0.4'), ('Stock', 'Delta', 'b2', '4', '0.6')"),
+    ("` SYMBOL `, Company", "('c1', 'Eps'), ('c2', NULL)"),
+    ("Name, Weight", "('no ticker', '1')"),
+)
+LABELS = "('03-04-2026'), ('As of: 03/04/2026'), ('Date March 4, 2026'), ('as of 3/4/2026 close'), ('Dec 31, 2025'), ('none'), (NULL), ('as of 13/45/2026')"
+
+
+#: The steps of the leverage slider.
+LEVERAGES = [x / 2 for x in range(-10, 11)]
+
+
+def _relative(column: str, digits: int = 9) -> Column:
+    """A number rounded to so many significant digits: paths of high leverage differ by many powers of ten."""
+    return F.format_string(f"%.{digits - 1}e", F.col(column).cast("double")).cast("double").alias(column)
 
 
 def _hazards(spark: SparkSession) -> DataFrame:
@@ -42,7 +61,8 @@ def _hazards(spark: SparkSession) -> DataFrame:
 
 
 def _boards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.historical_leaderboards(fx.holdings_f1(spark, sf_dir), CFG)
+    """The replay, written once: what follows asks it for dates and rows again and again."""
+    return shared.written(scoring.historical_leaderboards(fx.holdings_f1(spark, sf_dir), CFG), "boards")
 
 
 def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,21 +73,21 @@ def _deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deltas.rank_deltas(fx.holdings_f1(spark, sf_dir), CFG)
 
 
-def _enriched(spark: SparkSession, sf_dir: str, *, gaps: bool = True) -> DataFrame:
-    boards = _boards(spark, sf_dir).persist()
+def _enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    boards = _boards(spark, sf_dir)
     last = boards.agg(F.max("snapshot_date")).scalar()
     today = boards.filter(F.col("snapshot_date") == last).drop("snapshot_date")
     then = boards.filter(F.col("snapshot_date") == signals.nearest_snapshot(boards))
     ranks = signals.global_rank_motion(boards).filter(F.col("snapshot_date") == last)
     rows = signals.velocity(today, signals.mean_motion(_deltas(spark, sf_dir)), ranks, temporal.streaks_and_deltas(boards), then)
-    return signals.with_metadata(signals.classified(rows), fx.metadata_f6(spark, sf_dir, gaps=gaps))
+    return signals.with_metadata(signals.classified(rows), fx.metadata_f6(spark, sf_dir))
 
 
-def _history_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Velocity from global ranks at every snapshot, for back-tests over the past."""
-    motion = signals.global_rank_motion(_boards(spark, sf_dir))
-    score = 0.5 * F.coalesce("global_rank_delta_30d", F.lit(0)) + 0.25 * F.coalesce("global_rank_peak_30d", F.lit(0))
-    return motion.withColumn("velocity_score", F.round(score, 2))
+def _history_velocity(spark: SparkSession, sf_dir: str, boards: DataFrame) -> DataFrame:
+    """Velocity and burst at every snapshot, written once, for back-tests over the past."""
+    history = fx.holdings_f1(spark, sf_dir)
+    motion = deltas.motion_history(history, CFG, boards.select("snapshot_date").distinct())
+    return shared.written(signals.velocity_history(boards, motion, temporal.score_streak_history(boards)), "velocity")
 
 
 @query
@@ -77,8 +97,7 @@ def sanitize_holdings(spark, sf_dir):
 
 @query
 def holdings_dedupe(spark, sf_dir):
-    rows = fx.holdings_f2(spark, sf_dir).withColumn("ticker", F.regexp_replace("ticker", r"\d$", ""))
-    merged = sanitize.merged(rows.filter("ticker != 'P'"), F.col("name"))
+    merged = sanitize.merged(fx.holdings_f2(spark, sf_dir).withColumn("ticker", F.regexp_replace("ticker", r"\d$", "")), F.col("name"))
     return merged.select("ETF_Ticker", "ticker", "name", F.round("weight", 9).alias("weight"), "Holdings_As_Of")
 
 
@@ -96,11 +115,10 @@ def parse_as_of_dates(spark, sf_dir):
 
 @query
 def backup_arbitration(spark, sf_dir):
+    """All funds and days against a backup that is a day older for one fund, as old for another and a day newer for the others."""
     h = fx.holdings_f1(spark, sf_dir)
-    day = F.dayofmonth("Holdings_As_Of")
-    primary = h.filter((day == 10) & F.col("ETF_Ticker").isin("click", "view", "error"))
-    backup = h.filter((day == F.when(F.col("ETF_Ticker") == "view", 9).otherwise(11)) & F.col("ETF_Ticker").isin("click", "view", "signup"))
-    return ingest.arbitrated(primary, backup).select("ETF_Ticker", "ticker", "Holdings_As_Of", "origin")
+    backup = h.withColumn("Holdings_As_Of", F.date_add("Holdings_As_Of", F.when(F.col("ETF_Ticker") == "view", -1).when(F.col("ETF_Ticker") == "error", 0).otherwise(1)))
+    return ingest.arbitrated(h, backup).select("ETF_Ticker", "ticker", "Holdings_As_Of", "origin")
 
 
 @query
@@ -217,7 +235,7 @@ def state_durations(spark, sf_dir):
 
 
 def _log(spark, sf_dir, kinds):
-    boards = _boards(spark, sf_dir).persist()
+    boards = _boards(spark, sf_dir)
     return temporal.changelog(boards, temporal.streaks_and_deltas(boards), CFG).filter(F.col("change").isin(kinds)).select("change", "position", "ticker", "final_score", "etf_count", "score_delta")
 
 
@@ -308,8 +326,8 @@ def quality_change(spark, sf_dir):
     return signals.quality_change(_boards(spark, sf_dir), CFG)
 
 
-def _flow(spark, sf_dir, dimension, *, gaps=True):
-    return structure.flow(_enriched(spark, sf_dir, gaps=gaps), (dimension,)).drop("dimension")
+def _flow(spark, sf_dir, dimension):
+    return structure.flow(_enriched(spark, sf_dir), (dimension,)).drop("dimension")
 
 
 @query
@@ -339,7 +357,7 @@ def top_overlap_pairs(spark, sf_dir):
 
 @query
 def holdings_history_rank(spark, sf_dir):
-    return structure.holdings_history(fx.holdings_f1(spark, sf_dir), CFG, 10)
+    return structure.holdings_history(fx.holdings_f1(spark, sf_dir), CFG)
 
 
 @query
@@ -350,7 +368,7 @@ def holdings_latest_wide(spark, sf_dir):
 
 @query
 def score_sparkline(spark, sf_dir):
-    return structure.score_sparkline(_boards(spark, sf_dir), 50).select("ticker", F.explode("points").alias("p")).select("ticker", "p.d", "p.s")
+    return structure.score_sparkline(_boards(spark, sf_dir)).select("ticker", F.explode("points").alias("p")).select("ticker", "p.d", "p.s")
 
 
 @query
@@ -358,28 +376,20 @@ def kpi_counts(spark, sf_dir):
     return structure.kpi_counts(_boards(spark, sf_dir))
 
 
-def _signals(spark, sf_dir, which):
-    boards = _boards(spark, sf_dir)
-    if which == "hc_entry":
-        return backtest.entries(boards, F.col("flag") == "HIGH_CONVICTION", which)
-    if which == "burst_trigger":
-        return backtest.entries(signals.global_rank_motion(boards), F.col("burst_30d"), which)
-    if which == "top10_score":
-        return backtest.top_on_mondays(boards, which)
-    if which == "top10_velocity":
-        return backtest.top_on_mondays(_history_velocity(spark, sf_dir), which, by="velocity_score", descending=True)
-    return backtest.baseline(boards)
-
-
 STRATEGIES = ("hc_entry", "burst_trigger", "top10_score", "top10_velocity", "baseline")
 
 
 def _trades(spark, sf_dir, *which):
-    out = None
-    for w in which:
-        s = _signals(spark, sf_dir, w)
-        out = s if out is None else out.unionByName(s)
-    return backtest.trades(out, fx.prices_f3(spark, sf_dir), fx.HOLD_DAYS)
+    boards = _boards(spark, sf_dir)
+    past = _history_velocity(spark, sf_dir, boards) if "top10_velocity" in which else signals.global_rank_motion(boards)
+    found = {
+        "hc_entry": lambda w: backtest.entries(boards, F.col("flag") == "HIGH_CONVICTION", w),
+        "burst_trigger": lambda w: backtest.entries(past, F.col("burst_30d"), w),
+        "top10_score": lambda w: backtest.top_on_mondays(boards, w),
+        "top10_velocity": lambda w: backtest.top_on_mondays(past, w, by="velocity_score", descending=True),
+        "baseline": lambda w: backtest.baseline(boards),
+    }
+    return backtest.trades(reduce(DataFrame.unionByName, [found[w](w) for w in which]), fx.prices_f3(spark, sf_dir), fx.HOLD_DAYS)
 
 
 def _shown(trades: DataFrame) -> DataFrame:
@@ -418,17 +428,17 @@ def trade_stats(spark, sf_dir):
 
 @query
 def cumulative_returns(spark, sf_dir):
-    return backtest.cumulative_returns(_trades(spark, sf_dir, "hc_entry", "top10_score"))
+    return backtest.cumulative_returns(_trades(spark, sf_dir, *STRATEGIES))
 
 
 @query
 def return_at_date(spark, sf_dir):
-    done = backtest.cumulative_returns(_trades(spark, sf_dir, "hc_entry", "top10_score"))
+    done = backtest.cumulative_returns(_trades(spark, sf_dir, *STRATEGIES))
     return backtest.return_at_date(done, _boards(spark, sf_dir).select(F.col("snapshot_date").alias("date")))
 
 
 def _scatter(spark, sf_dir):
-    rows = _history_velocity(spark, sf_dir).filter(F.col("global_rank_delta_30d").isNotNull())
+    rows = _history_velocity(spark, sf_dir, _boards(spark, sf_dir))
     return backtest.velocity_scatter(rows, fx.prices_f3(spark, sf_dir), fx.HOLD_DAYS, most=None)
 
 
@@ -476,18 +486,18 @@ def series_search(spark, sf_dir):
 
 @query
 def sim_underlyings(spark, sf_dir):
-    return markets.sim_underlyings(fx.series_f5(spark, sf_dir), n=500)
+    return markets.sim_underlyings(fx.series_f5(spark, sf_dir))
 
 
 @query
 def nav_simulation(spark, sf_dir):
-    paths = simulator.simulate(simulator.daily_returns(fx.series_f4(spark, sf_dir), 21), [2.0])
-    return paths.select("symbol", "leverage", "i", "date", F.round("nav", 4).alias("nav"), F.round("underlying", 4).alias("underlying"))
+    paths = simulator.simulate(simulator.daily_returns(fx.series_f5(spark, sf_dir)), [2.0])
+    return paths.select("symbol", "leverage", "i", "date", _relative("nav"), _relative("underlying"))
 
 
 @query
 def synthetic_simulation(spark, sf_dir):
-    paths = simulator.simulate(simulator.synthetic_returns(spark, days=30), [3.0])
+    paths = simulator.simulate(simulator.synthetic_returns(spark), [3.0])
     return paths.select("leverage", "i", F.round("nav", 6).alias("nav"), F.round("underlying", 6).alias("underlying"))
 
 
@@ -498,101 +508,175 @@ def decay_metrics(spark, sf_dir):
 
 @query
 def leverage_grid(spark, sf_dir):
-    returns = simulator.daily_returns(fx.series_f4(spark, sf_dir), 15).withColumn("r", F.col("r") / 10)
-    return simulator.summary(simulator.simulate(returns, [-3.0, -1.0, 1.0, 2.0, 3.0])).select("symbol", "leverage", "etn_total_pct", "underlying_total_pct", "drag_pct", "sigma_d", "annual_decay", "sessions")
+    rows = simulator.summary(simulator.simulate(simulator.daily_returns(fx.series_f5(spark, sf_dir)), LEVERAGES))
+    return rows.select("symbol", "leverage", *[_relative(c) for c in ("etn_total_pct", "underlying_total_pct", "drag_pct", "sigma_d", "annual_decay")], "sessions")
 
 
 @query
 def nested_holdings(spark, sf_dir):
     history = fx.holdings_f1(spark, sf_dir)
-    rows = structure.nested_holdings(structure.holdings_history(history, replace(CFG), 5), leaderboard(spark, sf_dir), 20)
+    rows = structure.nested_holdings(structure.holdings_history(history, CFG), leaderboard(spark, sf_dir))
     return rows.select("ticker", F.explode("by_etf").alias("ETF_Ticker", "rows")).select("ticker", "ETF_Ticker", F.size("rows").alias("n"), F.element_at("rows", -1)["d"].alias("last_day"))
 
 
-# The operators at their own sizes, on whole inputs. The queries of the same names without _whole keep the sizes that their SQL fixes.
+def _tables(spark: SparkSession) -> list[DataFrame]:
+    """Scraped tables with headers of three kinds, and one that names no ticker."""
+    return [spark.sql(f"SELECT * FROM VALUES {rows} AS t({heads})") for heads, rows in HEADED]
 
 
 @query
-def holdings_history_rank_whole(spark, sf_dir):
-    return structure.holdings_history(fx.holdings_f1(spark, sf_dir), CFG)
+def parse_headers(spark, sf_dir):
+    day = F.lit("2026-05-01").cast("date")
+    found = [ingest.standardised(t, F.lit(f"T{i}"), day, day) for i, t in enumerate(_tables(spark))]
+    rows = reduce(DataFrame.unionByName, [f for f in found if f is not None])
+    return rows.select("ETF_Ticker", "ticker", "name", F.round("weight", 9).alias("weight"))
 
 
 @query
-def score_sparkline_whole(spark, sf_dir):
-    return structure.score_sparkline(_boards(spark, sf_dir)).select("ticker", F.explode("points").alias("p")).select("ticker", "p.d", "p.s")
+def vendor_payloads(spark, sf_dir):
+    """F1's last day as vendors' JSON, read back; weights under half a millionth are dropped."""
+    rows = fx.holdings_f1(spark, sf_dir)
+    holding = F.struct(
+        "ticker", F.concat("name", F.lit(" &amp; Co")).alias("issuerName"), F.lit(1.0).alias("units"), (F.col("weight") * 100).alias("percentageOfTotalNetAssets"),
+        F.when(F.col("ETF_Ticker") == "error", "Futures").otherwise("Common Stock").alias("securityTypeName"), F.lit("c").alias("cusip"), F.lit(1.0).alias("marketValue"),
+    )
+    day = rows.groupBy("ETF_Ticker", "Holdings_As_Of").agg(F.collect_list(holding).alias("holdings"))
+    payload = F.to_json(F.struct(F.col("Holdings_As_Of").cast("string").alias("effectiveBusinessDate"), F.size("holdings").alias("totalNumberOfHoldings"), "holdings"))
+    return ingest.vendor_holdings(day.select(F.col("ETF_Ticker").alias("etf"), payload.alias("payload"))).select("ETF_Ticker", "ticker", "name", "weight", "Holdings_As_Of")
 
 
 @query
-def sim_underlyings_whole(spark, sf_dir):
-    return markets.sim_underlyings(fx.series_f5(spark, sf_dir))
+def load_statuses(spark, sf_dir):
+    """The last day's load of each fund against a history that lacks it for two funds; one fund asked for has sent nothing."""
+    rows = fx.holdings_f1(spark, sf_dir)
+    last = rows.agg(F.max("Holdings_As_Of")).scalar()
+    known = rows.filter((F.col("Holdings_As_Of") < last) | ~F.col("ETF_Ticker").isin("view", "click"))
+    return ingest.load_status(rows.filter(F.col("Holdings_As_Of") == last), known, ["signup", "purchase", "view", "click", "error", "none"])
 
 
 @query
-def nested_holdings_whole(spark, sf_dir):
-    history = fx.holdings_f1(spark, sf_dir)
-    rows = structure.nested_holdings(structure.holdings_history(history, CFG), leaderboard(spark, sf_dir))
-    return rows.select("ticker", F.explode("by_etf").alias("ETF_Ticker", "rows")).select("ticker", "ETF_Ticker", F.size("rows").alias("n"), F.element_at("rows", -1)["d"].alias("last_day"))
+def series_refresh(spark, sf_dir):
+    """F4 up to the 20th, then all observations as text, "." for closes under the series' mean."""
+    rows = fx.series_f4(spark, sf_dir)
+    mean = rows.groupBy("symbol").agg(F.avg("close").alias("mean"))
+    observed = rows.join(mean, "symbol").select("symbol", "date", F.when(F.col("close") < F.col("mean"), ".").otherwise(F.col("close").cast("string")).alias("value"))
+    return ingest.series_update(rows.filter("date <= DATE '2024-01-20'"), observed)
 
 
-#: The steps of the reference's slider.
-LEVERAGES = [x / 2 for x in range(-10, 11)]
+@query
+def csv_round_trip(spark, sf_dir):
+    """F1 written as CSV and read with the contract's schema."""
+    path = shared.new_path(spark, "csv")
+    fx.holdings_f1(spark, sf_dir).write.option("header", True).csv(path)
+    rows = readers.holdings_csv(spark, path)
+    return rows.groupBy("ETF_Ticker").agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("ticker").alias("tickers"), F.max("Holdings_As_Of").alias("last_day"), F.round(F.sum("weight"), 6).alias("weight"))
 
 
-def _relative(column: str, digits: int = 9) -> Column:
-    """A number rounded to so many significant digits: paths of high leverage differ by many powers of ten."""
-    c = F.col(column)
-    unit = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(c))) - (digits - 1))
-    return F.when(c == 0, c).otherwise(F.round(c / unit) * unit).alias(column)
+@query
+def archive_round_trip(spark, sf_dir):
+    """Three days of F1 archived, the last one twice with half the funds: latest by fund, history by day."""
+    root, rows = shared.new_path(spark, "archive"), shared.written(fx.holdings_f1(spark, sf_dir), "holdings")
+    for day, funds in (("2024-01-28", ("view", "click", "error")), ("2024-01-29", ("view", "click")), ("2024-01-30", ("view", "click")), ("2024-01-30", ("view",))):
+        sinks.archive_day(rows.filter((F.col("Holdings_As_Of") == F.lit(day).cast("date")) & F.col("ETF_Ticker").isin(*funds)), root, day)
+    both = [spark.read.parquet(f"{root}/{name}").select(F.lit(name).alias("layout"), "ETF_Ticker", "ticker", "Holdings_As_Of") for name in ("latest", "history")]
+    return both[0].unionByName(both[1]).groupBy("layout", "ETF_Ticker", "Holdings_As_Of").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 @query
-def nav_simulation_whole(spark, sf_dir):
-    paths = simulator.simulate(simulator.daily_returns(fx.series_f5(spark, sf_dir)), [2.0])
-    return paths.select("symbol", "leverage", "i", "date", _relative("nav"), _relative("underlying"))
+def document_round_trip(spark, sf_dir):
+    """Flag histories written as JSON documents and read back."""
+    path = shared.new_path(spark, "documents")
+    sinks.write_document(structure.flag_history(_boards(spark, sf_dir)), path)
+    rows = spark.read.schema("ticker string, history array<struct<d: date, flag: string, rank: int>>").json(path)
+    return rows.select("ticker", F.explode("history").alias("h")).select("ticker", "h.d", "h.flag", "h.rank")
 
 
 @query
-def synthetic_simulation_whole(spark, sf_dir):
-    paths = simulator.simulate(simulator.synthetic_returns(spark), [3.0])
-    return paths.select("leverage", "i", F.round("nav", 6).alias("nav"), F.round("underlying", 6).alias("underlying"))
+def summary_counts(spark, sf_dir):
+    rows = documents.summary(fx.holdings_f1(spark, sf_dir), _boards(spark, sf_dir), CFG)
+    return rows.select(
+        "source_rows_raw", "source_rows_after_sanitize", "latest_holdings_as_of", F.size("etfs").alias("funds"), F.size("snapshot_dates").alias("snapshots"),
+        F.col("today.high_conviction").alias("hc_today"), F.col("yesterday.high_conviction").alias("hc_yesterday"), F.col("today.unflagged").alias("unflagged_today"),
+    )
 
 
 @query
-def leverage_grid_whole(spark, sf_dir):
-    rows = simulator.summary(simulator.simulate(simulator.daily_returns(fx.series_f5(spark, sf_dir)), LEVERAGES))
-    return rows.select("symbol", "leverage", *[_relative(c) for c in ("etn_total_pct", "underlying_total_pct", "drag_pct", "sigma_d", "annual_decay")], "sessions")
+def score_delta_map(spark, sf_dir):
+    """The map of all periods that a leaderboard record carries."""
+    rows = signals.period_map(documents.period_deltas(fx.holdings_f1(spark, sf_dir), CFG))
+    return rows.select("ticker", F.explode("score_deltas_by_period").alias("period", "score_delta_pct"))
 
 
 @query
-def cumulative_returns_whole(spark, sf_dir):
-    return backtest.cumulative_returns(_trades(spark, sf_dir, *STRATEGIES))
+def series_kinds(spark, sf_dir):
+    labels = spark.sql("SELECT * FROM VALUES ('click', 'Clicks', 'web'), ('view', 'Page views', 'web'), ('purchase', 'Purchases', 'shop'), ('signup', 'Sign-ups', 'shop') AS t(symbol, label, kind)")
+    return markets.kind_counts(markets.with_labels(markets.series_stats(fx.series_f4(spark, sf_dir)), labels))
 
 
 @query
-def return_at_date_whole(spark, sf_dir):
-    done = backtest.cumulative_returns(_trades(spark, sf_dir, *STRATEGIES))
-    return backtest.return_at_date(done, _boards(spark, sf_dir).select(F.col("snapshot_date").alias("date")))
+def metadata_build(spark, sf_dir):
+    """A metadata row for each of F2's tickers; the customers know some of the names."""
+    known = fx.metadata_f6(spark, sf_dir).withColumn("ticker", F.regexp_replace("ticker", "^U", "P"))
+    return ingest.ticker_metadata(fx.holdings_f2(spark, sf_dir), known).select("ticker", "sector", "industry", "country")
+
+
+def _past(spark, sf_dir):
+    boards = _boards(spark, sf_dir)
+    past = _history_velocity(spark, sf_dir, boards)
+    return boards.join(past.select("snapshot_date", "ticker", "burst_30d", "velocity_score"), ["snapshot_date", "ticker"])
 
 
 @query
-def backup_arbitration_whole(spark, sf_dir):
-    """All funds and days against a backup that is a day older for one fund, as old for another and a day newer for the others."""
-    h = fx.holdings_f1(spark, sf_dir)
-    backup = h.withColumn("Holdings_As_Of", F.date_add("Holdings_As_Of", F.when(F.col("ETF_Ticker") == "view", -1).when(F.col("ETF_Ticker") == "error", 0).otherwise(1)))
-    return ingest.arbitrated(h, backup).select("ETF_Ticker", "ticker", "Holdings_As_Of", "origin")
+def watchlist_changes(spark, sf_dir):
+    """All tickers are watched; the last visit was on the 20th."""
+    rows = _past(spark, sf_dir)
+    return explore.since_last_visit(rows, rows, F.lit("2024-01-20").cast("date"))
 
 
 @query
-def holdings_dedupe_whole(spark, sf_dir):
-    merged = sanitize.merged(fx.holdings_f2(spark, sf_dir).withColumn("ticker", F.regexp_replace("ticker", r"\d$", "")), F.col("name"))
-    return merged.select("ETF_Ticker", "ticker", "name", F.round("weight", 9).alias("weight"), "Holdings_As_Of")
+def signal_timeline(spark, sf_dir):
+    return explore.signal_timeline(_past(spark, sf_dir))
+
+
+@query
+def signal_days(spark, sf_dir):
+    return explore.state_days(explore.signal_timeline(_past(spark, sf_dir)))
+
+
+@query
+def compare_top(spark, sf_dir):
+    board = leaderboard(spark, sf_dir)
+    return explore.compared(board, board.filter("etf_count >= 2")).select("place", "ticker", "final_score")
+
+
+def _explained(spark, sf_dir):
+    latest, boards = _latest(spark, sf_dir), _boards(spark, sf_dir)
+    rows = _enriched(spark, sf_dir).join(signals.concentration(latest), "ticker").join(signals.quality_change(boards, CFG), "ticker")
+    return rows.join(temporal.streaks_and_deltas(boards).select("ticker", "hc_streak"), "ticker")
+
+
+@query
+def explainer_lines(spark, sf_dir):
+    return explore.explained(_explained(spark, sf_dir)).select("ticker", "sentence")
+
+
+@query
+def filter_chips(spark, sf_dir):
+    rows = shared.written(_explained(spark, sf_dir), "explained")
+    sets = {"velo": {"velo": True}, "burst": {"burst": True}, "quality": {"quality": True}, "spread": {"most_concentrated": 80}, "building": {"sector": "BUILDING", "most_concentrated": 80}}
+    return reduce(DataFrame.unionByName, [explore.chips(rows, **o).select(F.lit(name).alias("chip"), "ticker") for name, o in sets.items()])
 
 
 @query
-def sector_flow_whole(spark, sf_dir):
-    return _flow(spark, sf_dir, "sector", gaps=False)
+def remaining_weight(spark, sf_dir):
+    return explore.remaining_weight(_latest(spark, sf_dir), 10)
 
 
 @query
-def country_flow_whole(spark, sf_dir):
-    return _flow(spark, sf_dir, "country", gaps=False)
+def time_travel(spark, sf_dir):
+    """Spark SQL over the registered views: the flags of one past day beside today's."""
+    session = explore.register_views(_boards(spark, sf_dir), _latest(spark, sf_dir))
+    return session.sql(
+        "SELECT b.ticker, b.flag AS flag_then, b.leaderboard_rank AS rank_then, count(h.ETF_Ticker) AS funds_now FROM leaderboard b LEFT JOIN holdings h ON h.ticker = b.ticker "
+        "WHERE b.snapshot_date = DATE '2024-01-15' GROUP BY b.ticker, b.flag, b.leaderboard_rank"
+    )

@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 HOLDINGS = "ETF_Ticker string, ticker string, name string, weight double, Holdings_As_Of date, Date_Scraped date"
 REQUIRED = ("ETF_Ticker", "ticker", "name", "weight", "Holdings_As_Of", "Date_Scraped")
 PRICES = "Date string, Open double, High double, Low double, Close double, Volume bigint"
-MACRO = "Date string, value string"
 METADATA = "ticker string, sector string, industry string, country string, market_cap_usd double"
 KEY = ("ETF_Ticker", "ticker", "Holdings_As_Of")
 

@@ -1,4 +1,4 @@
-"""The operators at their own sizes, against the registered SQL without its cuts."""
+"""The operators at their own sizes, against the registered SQL."""
 
 import os
 
@@ -7,29 +7,24 @@ import pytest
 
 from holdlens.operators import signals
 from holdlens.plans.oracles import ORACLES
-from holdlens.plans.queries import LEVERAGES, QUERIES
+from holdlens.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
 
 
-def compare(spark, name, *cuts, sql=None):
-    """The rows of a query, compared with its SQL in which each cut (old, new) is replaced."""
-    sql = sql or ORACLES[name.removesuffix("_whole")]
-    for old, new in cuts:
-        assert old in sql
-        sql = sql.replace(old, new)
+def compare(spark, name):
+    """The rows of a query, compared with its SQL."""
     db = duckdb.connect()
     for t in ("events", "lineitem", "customer", "nation"):
         db.execute(f"CREATE VIEW {t} AS SELECT * FROM '{FOLDER}/{t}.parquet'")
-    cursor = db.execute(sql)
+    cursor = db.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]
     got = QUERIES[name](spark, FOLDER)
     assert got.columns == names
     key = lambda r: [(x is None, str(x)) for x in r if not isinstance(x, float)] + [(x is None, x or 0) for x in r if isinstance(x, float)]
     rows = sorted(map(tuple, got.collect()), key=key)
     want = sorted(cursor.fetchall(), key=key)
-    print(name, len(rows))
     assert len(rows) == len(want)
     for a, b in zip(rows, want, strict=True):
         for x, y in zip(a, b, strict=True):
@@ -38,42 +33,33 @@ def compare(spark, name, *cuts, sql=None):
 
 
 def test_own_sizes(spark):
-    days = {r[2] for r in compare(spark, "holdings_history_rank_whole", ("- 10", "- 120"))}
-    assert len(days) == 30
-    assert len({r[0] for r in compare(spark, "score_sparkline_whole", ("<= 50 ", "<= 200 "))}) > 50
-    rows = compare(spark, "sim_underlyings_whole", ("back <= 500", "back <= 2520"))
-    assert len(rows) > 6 * 2400
-    assert len({r[0] for r in compare(spark, "nested_holdings_whole", ("<= 20 ", "<= 300 "), ("- 5 ", "- 120 "))}) > 20
+    assert len({r[2] for r in compare(spark, "holdings_history_rank")}) == 30
+    assert len({r[0] for r in compare(spark, "score_sparkline")}) > 50
+    assert len(compare(spark, "sim_underlyings")) > 6 * 2400
+    assert len({r[0] for r in compare(spark, "nested_holdings")}) > 20
 
 
 def test_simulator_windows(spark):
-    from holdlens.plans.oracles import _F4, _F5
-
-    rows = compare(spark, "nav_simulation_whole", (_F4, _F5), ("back <= 21", "back <= 252"), ("round(nav, 4)", "nav"), ("round(u, 4)", "u"))
-    assert len(rows) == 6 * 251
-    assert len(compare(spark, "synthetic_simulation_whole", ("range(30)", "range(252)"))) == 252
-    steps = ", ".join(f"({x}::DOUBLE)" for x in LEVERAGES)
-    rows = compare(spark, "leverage_grid_whole", (_F4, _F5), ("back <= 15", "back <= 252"), ("r / 10", "r"), ("(-3.0::DOUBLE), (-1.0), (1.0), (2.0), (3.0)", steps))
+    assert len(compare(spark, "nav_simulation")) == 6 * 251
+    assert len(compare(spark, "synthetic_simulation")) == 252
+    rows = compare(spark, "leverage_grid")
     assert len(rows) == 6 * 21 and {r[1] for r in rows} >= {-5.0, 5.0} and {r[-1] for r in rows} == {251}
 
 
 def test_all_strategies(spark):
     five = {"hc_entry", "burst_trigger", "top10_score", "top10_velocity", "baseline"}
     some = {r[0] for r in compare(spark, "trade_stats")}
-    for name in ("cumulative_returns_whole", "return_at_date_whole"):
-        got = {r[0] for r in compare(spark, name, (" AND strategy IN ('hc_entry', 'top10_score')", ""))}
+    for name in ("cumulative_returns", "return_at_date"):
+        got = {r[0] for r in compare(spark, name)}
         assert got == some <= five and len(got) > 2
 
 
 def test_whole_inputs(spark):
-    rows = compare(
-        spark, "backup_arbitration_whole", ("SELECT * FROM h WHERE day(d) = 10 AND etf IN ('click','view','error')", "SELECT * FROM h"),
-        ("SELECT * FROM h WHERE etf IN ('click','view','signup') AND day(d) = CASE WHEN etf = 'view' THEN 9 ELSE 11 END", "SELECT * REPLACE (d + CASE etf WHEN 'view' THEN -1 WHEN 'error' THEN 0 ELSE 1 END AS d) FROM h"),
-    )
+    rows = compare(spark, "backup_arbitration")
     assert {(r[0], r[3]) for r in rows} == {("view", "primary"), ("error", "primary"), ("click", "backup"), ("signup", "backup"), ("purchase", "backup")}
-    assert "P" in {r[1] for r in compare(spark, "holdings_dedupe_whole", (r" WHERE regexp_replace(ticker, '\d$', '') <> 'P'", ""))}
-    for name in ("sector_flow_whole", "country_flow_whole"):
-        assert "Unknown" not in {r[0] for r in compare(spark, name, (" WHERE c_custkey % 3 <> 0", ""))}
+    assert "P" in {r[1] for r in compare(spark, "holdings_dedupe")}
+    for name in ("sector_flow", "country_flow"):
+        assert "Unknown" not in {r[0] for r in compare(spark, name)}
 
 
 def test_unknown_metadata(spark):
