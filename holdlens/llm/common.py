@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,7 +10,12 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_root: dict[str, str] = {}
+from ..shared import drop_path, new_path, written
+
+__all__ = ["drop_path", "near", "new_path", "numbered", "slices", "table", "written"]
+
+#: Rows of a few numbers or digests that may be broadcast; larger tables are joined by a shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -28,30 +31,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or an own one where that is unset (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = _own_root.setdefault("dir", f"file://{tempfile.mkdtemp(prefix='holdlens-')}")
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/holdlens"
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, *, sort: list[str] | None = None) -> DataFrame:
-    """df as a Parquet table in the shared folder: cuts lineage, survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    (df.sortWithinPartitions(*sort) if sort else df).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def near(df: DataFrame, rows: int) -> DataFrame:
+    """df, broadcast where its number of rows, that has been counted, is small: what stands on the other side then stays where it is."""
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
 def drop_written(df: DataFrame) -> None:

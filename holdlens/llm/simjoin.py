@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_written, shuffle_partitions, slices, written
+from .common import drop_written, near, shuffle_partitions, slices, written
 
 U = np.uint64
 #: Bytes of text that are hashed together.
@@ -42,8 +42,6 @@ PAIR_FRAGMENTS = 4
 #: Members of a leader that are compared in one part.
 SALT_ROWS = 2000
 KEYS_PER_ROUND, ROUNDS = 2, 3
-#: Rows of at most four numbers that may be broadcast; larger tables are joined by a shuffle.
-BROADCAST_ROWS = 500_000
 #: Words of 64 bits of a signature; a power of two.
 SIGNATURE = 16
 
@@ -322,20 +320,15 @@ def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (xs, ls, counts)], ["x", "l", "part"])
 
 
-def _near(df: DataFrame, rows: int) -> DataFrame:
-    """df, broadcast where its number of rows, that has been counted, is small: the n-grams on the other side then stay where they are."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, l) that link: overlaps are counted in each fragment apart and summed per pair."""
     pairs = written(pairs, "join-pairs")
     size = pairs.groupBy("l").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).cast("int").alias("salts"))
     some, n_pairs = sets.select("cls", "hashes"), pairs.count()
-    members = some.withColumnRenamed("cls", "x").join(_near(pairs.join(size, "l"), n_pairs), "x").select(
+    members = some.withColumnRenamed("cls", "x").join(near(pairs.join(size, "l"), n_pairs), "x").select(
         "l", F.pmod(F.xxhash64("x"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("is_x"), "x", "hashes"
     )
-    leaders = some.withColumnRenamed("cls", "l").join(_near(size, n_pairs), "l").select(
+    leaders = some.withColumnRenamed("cls", "l").join(near(size, n_pairs), "l").select(
         "l", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("is_x"), F.col("l").alias("x"), "hashes"
     )
     parts = members.unionByName(leaders).mapInArrow(_cut_pair, PAIR)
@@ -443,7 +436,7 @@ def _joined(docs: DataFrame, *, n: int, percent: int = 75, id_col: str, text_col
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["cls", "n", "hashes"])
 
     n_left = left.count()
-    chosen = texts.join(_near(left.select("rep", "cls"), n_left), F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
+    chosen = texts.join(near(left.select("rep", "cls"), n_left), F.col("doc_id").eqNullSafe(F.col("rep"))).select("cls", "text")
     sets = written(chosen.mapInArrow(whole, "cls bigint, n bigint, hashes binary"), "join-sets")
     if not sets.groupBy("cls").count().filter("count > 1").isEmpty():  # rows of one identifier with one set
         sets = written(sets.dropDuplicates(["cls"]), "join-sets")
@@ -469,18 +462,18 @@ def _joined(docs: DataFrame, *, n: int, percent: int = 75, id_col: str, text_col
 
     open_sets = sets
     for seed in range(ROUNDS):
-        linked = absorb(verified(led(open_sets.join(_near(comps, n_left), "cls"), seed, percent), sets, percent))
-        with_comp = open_sets.join(_near(comps, n_left), "cls")
+        linked = absorb(verified(led(open_sets.join(near(comps, n_left), "cls"), seed, percent), sets, percent))
+        with_comp = open_sets.join(near(comps, n_left), "cls")
         other = shared_counts(with_comp.mapInArrow(across, ENTRIES), fragments)
         other = written(other, "join-shared")
-        still = open_sets.join(_near(other, n_left), F.col("cls") == F.col("key")).filter(F.col("shared") >= least)
+        still = open_sets.join(near(other, n_left), F.col("cls") == F.col("key")).filter(F.col("shared") >= least)
         before, open_sets = open_sets, written(still.select("cls", "n", "hashes"), "join-open")
         if seed:
             drop_written(before)
         if open_sets.isEmpty() or not linked:
             break
     if not open_sets.isEmpty():
-        absorb(verified(by_prefix(open_sets.join(_near(comps, n_left), "cls"), percent), sets, percent))
+        absorb(verified(by_prefix(open_sets.join(near(comps, n_left), "cls"), percent), sets, percent))
     drop_written(sets)
 
     by_class = classes.join(comps, "cls", "left").select("cls", "rep", F.coalesce("comp", "cls").alias("comp"))

@@ -1,33 +1,40 @@
 """WARC archives, with an external merge of their indexes into globally ordered capture histories.
 
-Archives are written by Spark's own text writer (record separators off, gzip), so they can be in any store that Spark reaches, and are
-read back as binary files and parsed by Content-Length. Each archive gives a locally sorted index run (URL key, time, record).
-Runs are dealt out by key ranges; in each range a k-way loser tree merges the slices of the runs.
+An archive has a gzip member for each record, so a record is read from its offset and length alone. Members are written by Spark's own text
+writer, so archives can be in any store that Spark reaches: the writer ends each row with a zero byte, and a member of less than 16 MiB
+of record ends with one (the highest byte of its length), which is left to the writer. A longer record is followed by an empty
+member, which ends so too. Archives are read back as binary files and parsed member by member by Content-Length.
+
+Each archive gives a locally sorted index run (URL key, time, record). Runs are dealt out by key ranges of at most about RANGE_ROWS rows; a
+range's slices come one after another, sorted, are held as Arrow columns, and a k-way loser tree merges them.
 
 Revisits: of records with equal payloads of at least min_payload bytes the one with the largest page id is the response.
-That choice is an aggregate per digest (partial in each task), joined back in salted parts.
+That choice is an aggregate per digest (partial in each task). The groups of more than one record are joined back: broadcast where their counted
+number is small, so that payloads stay where they are, else in salted parts.
 
-Defined results: a null payload is empty; a null url has the key ""; empty and short payloads are always responses;
-of repeated rows with the winning id one is the response as well as its copies (they refer to nothing); an empty table gives no rows;
-further columns are never read.
+Defined results: a null payload is empty; a null url has the key ""; empty and short payloads are always responses; a null page id
+is never a winner and stays null; of repeated rows with the winning id one is the response as well as its copies (they refer to nothing); an empty table
+gives no rows; further columns, whatever their names, are never read.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import new_path, written
+from .common import near, new_path, shuffle_partitions, written
 
 END = "\r\n"
 #: Parts of a group of equal payloads that are joined apart.
 SALTS = 32
+#: Rows of the index that a merge task should hold, rows of a run that it looks at together, rows of a batch of its result.
+RANGE_ROWS, LOOK, BATCH = 500_000, 1024, 20_000
 
 
 def url_key(url: Column) -> Column:
@@ -43,12 +50,13 @@ def decided(pages: DataFrame, *, id_col: str, url_col: str, payload_col: str, mi
         F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("url"), payload.alias("payload"),
         F.octet_length(payload).cast("long").alias("payload_bytes"), F.sha1(payload.cast("binary")).alias("digest"),
     )
-    kept = rows.filter(F.col("payload_bytes") >= min_payload).groupBy("digest").agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("n"))
+    long = F.col("payload_bytes") >= min_payload
+    kept = rows.filter(long).groupBy("digest").agg(F.max("page_id").alias("winner"), F.count(F.lit(1)).alias("n"))
     kept = written(kept.filter("n > 1").select("digest", "winner"), "warc-winners")
     salted = kept.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    long = F.col("payload_bytes") >= min_payload
-    joined = rows.withColumn("salt", F.when(long, F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))).join(salted, ["digest", "salt"], "left")
-    return joined.withColumn("refers_to", F.when(F.col("winner") != F.col("page_id"), F.col("winner"))).drop("winner", "salt")
+    rows = rows.withColumn("salt", F.when(long, F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")))
+    joined = rows.join(near(salted, kept.count() * SALTS), ["digest", "salt"], "left")
+    return joined.withColumn("refers_to", F.when(~F.col("winner").eqNullSafe(F.col("page_id")), F.col("winner"))).drop("winner", "salt")
 
 
 def record(row_time: Column) -> Column:
@@ -67,15 +75,27 @@ def record(row_time: Column) -> Column:
     return F.concat(head, F.lit(END * 2), body, F.lit(END * 2))
 
 
+def member(data: bytes) -> bytes:
+    """A record as a gzip member (an empty one after it if it is long), which ends with a zero byte."""
+    def packed(x: bytes) -> bytes:
+        c = zlib.compressobj(6, zlib.DEFLATED, 31)
+        return c.compress(x) + c.flush()
+
+    return packed(data) if len(data) < 1 << 24 else packed(data) + packed(b"")
+
+
 def write_archives(decided_pages: DataFrame, path: str, *, records_per_file: int = 5000) -> None:
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            records = batch.column(0).cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays([pa.array([member(x)[:-1] for x in records], pa.binary())], ["value"])
+
     time = F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.coalesce(F.col("page_id"), F.lit(0)) % 100_000_000), "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    (
-        decided_pages.select(record(time).alias("value")).write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file)
-        .option("compression", "gzip").text(path)
-    )
+    members = decided_pages.select(record(time).alias("value")).mapInArrow(packed, "value binary").select(F.col("value").cast("string"))
+    members.write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file).option("compression", "none").text(path)
 
 
-INDEX = "url_key string, ts string, page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, file string, at bigint, run string"
+INDEX = "url_key string, ts string, page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, file string, at bigint, size bigint, run string"
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -85,16 +105,34 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [n for n, _ in names])
 
 
-def parse(data: bytes) -> Iterator[dict]:
-    at = 0
+def members(data: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """Offset, length and content of each gzip member."""
+    view, at, step = memoryview(data), 0, 1 << 16
     while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split(END)
+        one, out, end = zlib.decompressobj(31), [], at
+        while not one.eof:
+            fed = view[end : end + step]
+            if not fed:
+                raise ValueError(f"the archive ends within the member at {at}")
+            out.append(one.decompress(fed))
+            end += len(fed) - len(one.unused_data)
+        yield at, end - at, b"".join(out)
+        at = end
+
+
+def parse(data: bytes) -> Iterator[dict]:
+    """The records of an archive: head, body, at and size of the member. Empty members are passed over."""
+    for at, size, raw in members(data):
+        if not raw:
+            continue
+        end = raw.index(b"\r\n\r\n")
+        lines = raw[:end].decode().split(END)
         head = dict(x.split(": ", 1) for x in lines[1:])
         start = end + 4
         stop = start + int(head["Content-Length"])
-        yield {"head": head, "body": data[start:stop], "at": at}
-        at = stop + 5  # the two line ends of a record and the writer's separator
+        if lines[0] != "WARC/1.1" or raw[stop:] != b"\r\n\r\n":
+            raise ValueError(f"no WARC record at {at}")
+        yield {"head": head, "body": raw[start:stop], "at": at, "size": size}
 
 
 def _page(urn: str | None) -> int | None:
@@ -109,15 +147,15 @@ def read_index(spark, path: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 rows = []
-                for r in parse(gzip.decompress(content)):
+                for r in parse(content):
                     h = r["head"]
                     response = h["WARC-Type"] == "response"
-                    size = len(r["body"]) if response else int(h["X-Payload-Length"])
+                    length = len(r["body"]) if response else int(h["X-Payload-Length"])
                     digest = hashlib.sha1(r["body"]).hexdigest() if response else h["WARC-Payload-Digest"].removeprefix("sha1:")
-                    rows.append((h.get("WARC-Target-URI", ""), h["WARC-Date"], _page(h["WARC-Record-ID"]), size, digest, h["WARC-Type"], _page(h.get("WARC-Refers-To")), name, r["at"], name))
+                    rows.append((h.get("WARC-Target-URI", ""), h["WARC-Date"], _page(h["WARC-Record-ID"]), length, digest, h["WARC-Type"], _page(h.get("WARC-Refers-To")), name, r["at"], r["size"], name))
                 yield _batch(rows)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
     found = files.mapInArrow(runs, INDEX)
     return found.withColumn("url_key", url_key(F.col("url_key"))).sortWithinPartitions("run", "url_key", "ts", "page_id", "file", "at")
 
@@ -166,37 +204,47 @@ class LoserTree:
         self.tree[0] = winner
 
 
-def merge_runs(index: DataFrame) -> DataFrame:
-    """The capture history, ordered over all parts by (url_key, ts, page_id)."""
+def merge_runs(index: DataFrame, rows: int) -> DataFrame:
+    """The capture history, ordered over all parts by (url_key, ts, page_id); rows: about how many there are."""
     order = ["url_key", "ts", "page_id", "file", "at"]
     columns = [c for c in index.columns if c != "run"]
-    put = [columns.index(c) for c in order]
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        runs: dict[str, list] = {}
-        for batch in batches:
-            values = [batch.column(c).to_pylist() for c in columns]
-            for name, row in zip(batch.column("run").to_pylist(), zip(*values, strict=True), strict=True):
-                runs.setdefault(name, []).append((tuple((row[i] is None, row[i]) for i in put), row))
-        # a slice of a run arrives in order but for blocks fetched out of turn: sorting a sorted list is one pass
-        merged = LoserTree([iter(sorted(r, key=lambda x: x[0])) for _, r in sorted(runs.items())])
-        held = []
-        for _, row in merged:
-            held.append(row)
-            if len(held) == 20_000:
-                yield _batch(held)
-                held = []
-        if held:
-            yield _batch(held)
-
+        held = pa.Table.from_batches(batches, arrow_schema).combine_chunks()
+        if not held.num_rows:
+            return
+        run = held.column("run").combine_chunks().dictionary_encode()
+        codes = (run.chunk(0) if isinstance(run, pa.ChunkedArray) else run).indices.to_numpy()
+        edges = [0, *(i + 1 for i in (codes[1:] != codes[:-1]).nonzero()[0].tolist()), len(codes)]
+
+        def keys(a: int, b: int) -> Iterator[tuple]:
+            """A run's keys with their places, a few at a time."""
+            for lo in range(a, b, LOOK):
+                some = held.slice(lo, min(LOOK, b - lo))
+                yield from zip(*([(x is not None, x) for x in some.column(c).to_pylist()] for c in order), range(lo, lo + some.num_rows), strict=True)
+
+        out = held.select(columns)
+        places: list[int] = []
+        for key in LoserTree([keys(a, b) for a, b in zip(edges, edges[1:], strict=False)]):
+            places.append(key[-1])
+            if len(places) == BATCH:
+                yield from out.take(places).combine_chunks().to_batches()
+                places = []
+        if places:
+            yield from out.take(places).combine_chunks().to_batches()
+
+    kinds = {"bigint": pa.int64(), "string": pa.string()}
+    arrow_schema = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in INDEX.split(", ")])
     schema = ", ".join(x for x in INDEX.split(", ") if not x.startswith("run "))
-    return index.repartitionByRange(*order).mapInArrow(merge, schema)
+    ranges = max(shuffle_partitions(index.sparkSession), -(-rows // RANGE_ROWS))
+    return index.repartitionByRange(ranges, *order).sortWithinPartitions("run", *order).mapInArrow(merge, schema)
 
 
 def archive(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_payload: int = 1000) -> DataFrame:
     """Writes the archives under path and returns their merged index."""
     write_archives(decided(pages, id_col=id_col, url_col=url_col, payload_col=payload_col, min_payload=min_payload), path)
-    return merge_runs(written(read_index(pages.sparkSession, path), "warc-runs"))
+    runs = written(read_index(pages.sparkSession, path), "warc-runs")
+    return merge_runs(runs, runs.count())
 
 
 def round_trip(pages: DataFrame) -> DataFrame:

@@ -281,6 +281,33 @@ def test_warc(spark):
     assert {i: by[i]["refers_to"] for i in by} == {1: 7, 2: 7, 3: None, 4: None, 5: None, 6: None, 7: None, 8: None}
     assert {i for i in by if by[i]["record_type"] == "revisit"} == {1, 2} and by[1]["url_key"] == "c,b,a)/x?y=1"
     assert warc.round_trip(df.limit(0)).count() == 0
+    twice = warc.round_trip(df.unionByName(df).unionByName(df.filter("page_id = 7").withColumn("page_id", F.lit(None).cast("bigint")))).collect()
+    assert collections.Counter(r["page_id"] for r in twice) == {**dict.fromkeys(range(1, 9), 2), None: 1}
+    assert {r["refers_to"] for r in twice if r["page_id"] in (None, 1, 2)} == {7} and {r["refers_to"] for r in twice if r["page_id"] == 7} == {None}
+
+
+def test_warc_files(spark):
+    """An independent reader: gzip members one after another, each one WARC record that its offset and length alone give."""
+    import gzip
+
+    pages = [(i, f"http://h{i % 3}.x/{i}", ("p%d " % (i // 2)) * 400) for i in range(40)] + [(90, "http://long/", "long " * 4_000_000), (91, "http://z/", None)]
+    path = warc.new_path(spark, "test-warc")
+    index = warc.archive(spark.createDataFrame(pages, "page_id bigint, url string, html string").repartition(2), path).collect()
+    by_id = {i: (html or "").encode() for i, _, html in pages}
+    names = {r["file"] for r in index}
+    seen = 0
+    for name in names:
+        with open(name.removeprefix("file:"), "rb") as f:
+            data = f.read()
+        assert b"\0\0\0\0\0" not in data[-4:] and gzip.decompress(data)  # members from end to end, nothing between them
+        for r in (r for r in index if r["file"] == name):
+            raw = gzip.decompress(data[r["at"] : r["at"] + r["size"]])
+            head, body = raw.split(b"\r\n\r\n", 1)
+            fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+            assert head.startswith(b"WARC/1.1\r\n") and body.endswith(b"\r\n\r\n") and len(body) - 4 == int(fields["Content-Length"])
+            assert fields["WARC-Record-ID"] == f"<urn:page:{r['page_id']}>" and body[:-4] == (by_id[r["page_id"]] if fields["WARC-Type"] == "response" else b"")
+            seen += 1
+    assert seen == len(pages) == len(index) and {r["refers_to"] for r in index if r["page_id"] == 6} == {7}
 
 
 @pytest.mark.parametrize("k", [0, 1, 2, 3, 5, 8, 13])
