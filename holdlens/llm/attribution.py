@@ -5,7 +5,9 @@ gaps. Tokens' spans come from the lengths of the tokens' bytes; spans and sectio
 join is a binary search of the edges in each document. The rule for tokens that cross an edge is explicit: "first" gives the token to the
 section that has its first character, "last" to the one that has its last.
 
-Defined results: null text counts as empty; an empty text has one empty section without tokens; repeated rows are counted
+Texts are encoded in slices of bounded size, so memory doesn't grow with a batch of long texts.
+
+Defined results: null text counts as empty; a null identifier stays null; an empty text has one empty section without tokens; repeated rows are counted
 each; an empty table gives no rows; further columns are never read. The sum over a document's sections is its number of tokens.
 """
 
@@ -19,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
 from .tokens import PartEncoder
 
 SCHEMA = "doc_id bigint, section int, start_char bigint, end_char bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint"
@@ -48,7 +51,7 @@ def _run(tokenizer_json: str, separator: str, rule: str):
         for token, i in encoder.tokenizer.get_vocab().items():
             size[i] = len(token)  # a byte-level token has one character for each byte
         pattern = re.compile(separator)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             texts = batch.column(1).to_pylist()
             ids_out, rows = [], []
             for doc_id, text, raw in zip(batch.column(0).to_pylist(), texts, encoder.encode(texts), strict=True):

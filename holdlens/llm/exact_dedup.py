@@ -22,7 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from .common import drop_path, new_path, written
+from ..shared import exists
+from .common import drop_path, drop_written, near, new_path, written
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Settings while the stream runs: state on disk, in bounded native memory, saved as change logs.
@@ -33,6 +34,8 @@ STATE_CONF = {
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
     "spark.sql.streaming.stateStore.unloadOnCommit": "true",
 }
+#: A locator, which has a path, counts as so many rows of a few numbers.
+WIDE = 8
 #: Rows of a hot group that one task compares with the text that stays.
 ROWS_PER_SALT = 256
 
@@ -102,33 +105,36 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """One row per row of docs: doc_id, keep_id, group_size, kept, text_sha256 (and file, row: its locator)."""
     spark = docs.sparkSession
     source = located(docs, id_col, text_col)
-    digests = written(
-        source.select(F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest"), "id", "file", "row"), "dedup-digests"
-    )
-    folder = digests.inputFiles()[0].rsplit("/", 1)[0]
-    reader = spark.readStream.schema(digests.schema)
+    found = source.select(F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest"), "id", "file", "row")
+    folder = new_path(spark, "dedup-digests")
+    found.write.parquet(folder)
+    digests = spark.read.schema(found.schema).parquet(folder)
+    reader = spark.readStream.schema(found.schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     checkpoint, out = new_path(spark, "dedup-state"), new_path(spark, "dedup-changes")
     stateful_stream(reader.parquet(folder), checkpoint, out)
-    if spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out).getFileSystem(
-        spark.sparkContext._jsc.hadoopConfiguration()
-    ).exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(out)):
+    if exists(spark, out):
         state = read_state(spark, out)
     else:  # no file had a row
         state = digests.groupBy("digest").agg(
             F.min(F.struct(F.col("id").isNull().alias("none"), "id", "file", "row")).alias("stays"), F.count(F.lit(1)).alias("group_size")
         )
+    # written apart, so that a digest of very many rows can be split between tasks of the join
+    state = written(state, "dedup-groups")
     rows = written(digests.join(state, "digest"), "dedup-rows")
     drop_path(spark, checkpoint)
     drop_path(spark, out)
+    drop_path(spark, folder)
+    drop_written(state)
 
     # hits: groups of more than one row; full texts are fetched by locator and compared
     stays = (F.col("file") == F.col("stays.file")) & (F.col("row") == F.col("stays.row"))
     hits = rows.filter("group_size > 1").select(
         "digest", "file", "row", stays.alias("is_kept"), F.ceil(F.col("group_size") / ROWS_PER_SALT).alias("salts")
     )
-    texts = source.join(hits, ["file", "row"]).select("digest", "id", "file", "row", "is_kept", "salts", normalised(F.col("text")).alias("norm"))
+    # few hits are sent to where the texts are read
+    texts = source.join(near(hits, WIDE * hits.count()), ["file", "row"]).select("digest", "id", "file", "row", "is_kept", "salts", normalised(F.col("text")).alias("norm"))
     texts = written(texts, "dedup-hits")
     first = texts.filter("is_kept").select("digest", F.explode(F.sequence(F.lit(0), (F.col("salts") - 1).cast("int"))).alias("salt"), F.col("norm").alias("first"))
     rest = texts.filter("not is_kept").withColumn("salt", F.pmod(F.xxhash64("file", "row"), F.col("salts")).cast("int"))
@@ -158,6 +164,9 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns. docs comes from files."""
-    kept = exact_dedup(docs, id_col=id_col, text_col=text_col).filter("kept").select(F.col("file").alias("_kept_file"), F.col("row").alias("_kept_row"))
-    here = docs.select(*[F.col(f"`{c}`") for c in docs.columns], F.col("_metadata.file_path").alias("_kept_file"), F.col("_metadata.row_index").alias("_kept_row"))
-    return here.join(kept, ["_kept_file", "_kept_row"], "left_semi").drop("_kept_file", "_kept_row")
+    gone = written(exact_dedup(docs, id_col=id_col, text_col=text_col).filter("NOT kept").select("file", "row"), "dedup-gone")
+    names = docs.columns
+    file, row = (next(n for n in (f"{'_' * i}{name}" for i in range(99)) if n not in names) for name in ("kept_file", "kept_row"))
+    here = docs.select(*[F.col(f"`{c}`") for c in names], F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    places = near(gone.select(F.col("file").alias(file), F.col("row").alias(row)), WIDE * gone.count())
+    return here.join(places, [file, row], "left_anti").drop(file, row)

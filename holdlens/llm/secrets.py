@@ -75,14 +75,16 @@ def described(docs: DataFrame, text: Column, path: Column) -> DataFrame:
     }
     value = f"CASE WHEN c.kind = 'assignment' THEN regexp_extract(c.m, {_text('[=:][ \\t]*[\"' + chr(39) + ']?(.*)$')}, 1) ELSE c.m END"
     named = ", ".join(f"'{k}', CAST({v} AS DOUBLE)" for k, v in features.items())
-    placed = "transform(scan_raw, (c, i) -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', CAST(aggregate(slice(scan_raw, 1, i + 1), 0L, (n, x) -> n + length(x.left) + length(x.m)) - length(c.m) AS BIGINT)))"
+    # where each candidate ends: a running sum, so a text of many candidates isn't summed anew for each
+    ends = "aggregate(scan_raw, array(0L), (s, c) -> concat(s, array(element_at(s, -1) + length(c.left) + length(c.m))))"
+    placed = "transform(scan_raw, (c, i) -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', get(scan_ends, i + 1) - length(c.m)))"
     return (
         docs.withColumn("scan_text", F.coalesce(text, F.lit(""))).withColumn("scan_path", F.coalesce(path, F.lit("")))
-        .withColumn("scan_raw", candidates(F.col("scan_text"))).withColumn("scan_raw", F.expr(placed))
+        .withColumn("scan_raw", candidates(F.col("scan_text"))).withColumn("scan_ends", F.expr(ends)).withColumn("scan_raw", F.expr(placed))
         .withColumn("scan_raw", F.expr(f"transform(scan_raw, c -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', c.start, 'kind', {_kind()}))"))
         .withColumn("scan_raw", F.expr(f"transform(scan_raw, c -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', c.start, 'kind', c.kind, 'value', {value}))"))
         .withColumn("found", F.expr(f"transform(scan_raw, c -> named_struct('m', c.m, 'left', c.left, 'start', c.start, 'kind', c.kind, 'value', c.value, {named}))"))
-        .drop("scan_path", "scan_raw", "scan_text")
+        .drop("scan_path", "scan_raw", "scan_ends", "scan_text")
     )
 
 

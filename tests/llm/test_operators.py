@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, processors
 
 from holdlens.llm import attribution, bpe, exact_dedup, packing, secrets, sharding, simjoin, topk, toxicity, warc
 from holdlens.llm.common import numbered, written
@@ -334,6 +334,30 @@ def test_attribution(docs, texts, tokenizer_json, empty):
     assert attribution.attribute(empty, tokenizer_json=tokenizer_json).count() == 0
 
 
+def test_attribution_equals_offsets(spark, texts, tokenizer_json):
+    """Each section's tokens and crossings against the tokenizer's own offsets, token by token."""
+    tokenizer = Tokenizer.from_str(tokenizer_json)
+    tokenizer.post_processor = processors.ByteLevel(trim_offsets=False)
+    rng = random.Random(7)
+    more = ["".join(rng.choices(["\n", " ", "  ", "word", "é", "日本", ".", "x1"], k=rng.randint(0, 40))) for _ in range(150)]
+    separators = (r"\n+", r"o", r"\s")
+    for separator in separators:
+        docs = frame(spark, texts[:25] + more)
+        for rule in attribution.RULES:
+            got = collections.defaultdict(list)
+            for r in attribution.attribute(docs, tokenizer_json=tokenizer_json, separator=separator, rule=rule).orderBy("doc_id", "section").collect():
+                got[r["doc_id"]].append(r)
+            for i, t in enumerate(texts[:25] + more):
+                starts = [r["start_char"] for r in got[i]]
+                want, crossing = collections.Counter(), collections.Counter()
+                for a, b in tokenizer.encode(t or "", add_special_tokens=False).offsets:
+                    first, last = (max(k for k, s in enumerate(starts) if s <= c) for c in (a, max(a, b - 1)))
+                    owner = first if rule == "first" else last
+                    want[owner] += 1
+                    crossing[owner] += first != last
+                assert [(r["n_tokens"], r["n_crossing"]) for r in got[i]] == [(want[k], crossing[k]) for k in range(len(starts))], repr(t)
+
+
 def test_allot_rule():
     # tokens of 2, 3 and 2 bytes; sections of 4 and 3 bytes: the second token crosses the edge
     lengths, edges = np.array([2, 3, 2]), np.array([0, 4, 7])
