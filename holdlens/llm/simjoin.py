@@ -12,7 +12,9 @@ class. The steps, each of them exact:
    group. A pair's overlap is counted in each fragment apart and summed per pair. Links make components.
 3. Rest. Step 1 again with components for classes: who shares need(n) n-grams with *other* components may still have
    an uncounted link. Those get new leaders; what is left after that is joined exactly by prefixes over n-grams that differ
-   in component, the rarest first. So no link between components is lost, and pairs inside one are never listed.
+   in component, the rarest first, and pairs whose parities differ too much for a link are left out. Of two components the
+   pair that differs least is counted first, all others only if their components are still apart. So no link between components
+   is lost, and pairs inside one are never listed.
 
 Defined results: words are runs of other characters than [\\x20\\x09-\\x0D], A-Z in lower case; fewer words than n are one n-gram; null, empty and
 blank texts have an empty set and link with nothing; equal sets always link; repeated rows belong to one class; the component is the
@@ -362,7 +364,7 @@ def led(sets: DataFrame, seed: int, percent: int) -> DataFrame:
 
 
 def by_prefix(sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (x, l) of different components that can link: they meet at one of the first n-grams among those that several components have.
+    """All pairs (x, l) of different components that can link, and differ: they meet at one of the first n-grams among those that several components have.
 
     A pair's symmetric difference has the n-grams that no other component has, and at least as many others as the parities differ of the
     two sets' n-grams dealt into 64 * SIGNATURE bits. A pair is left out only where that is more than a link allows.
@@ -393,12 +395,12 @@ def by_prefix(sets: DataFrame, percent: int) -> DataFrame:
     # from the first n-gram that a linked pair has in common, either side has at least the whole overlap left
     least = F.ceil((n + ln) * percent / (100 + percent) - 1e-9)
     fits = (n * 100 >= ln * percent) & (ln * 100 >= n * percent) & (F.least("rest", "lrest") >= least)
-    differ = F.col("alone") + F.col("lalone")
+    differ = F.col("alone") + F.col("lalone")  # at least so many n-grams are in one of the two only
     for c in names:
         differ += F.bit_count(F.col(c).bitwiseXOR(F.col(f"l{c}")))
     close = differ * (100 + percent) <= (n + ln) * (100 - percent)
     return prefix.join(other, (F.col("h") == F.col("lh")) & (F.col("cls") > F.col("lcls")) & (F.col("comp") != F.col("lcomp")) & fits & close).select(
-        F.col("cls").alias("x"), F.col("lcls").alias("l")
+        F.col("cls").alias("x"), F.col("lcls").alias("l"), differ.alias("differ")
     ).distinct()
 
 
@@ -473,7 +475,16 @@ def _joined(docs: DataFrame, *, n: int, percent: int = 75, id_col: str, text_col
         if open_sets.isEmpty() or not linked:
             break
     if not open_sets.isEmpty():
-        absorb(verified(by_prefix(open_sets.join(near(comps, n_left), "cls"), percent), sets, percent))
+        candidates = written(by_prefix(open_sets.join(near(comps, n_left), "cls"), percent), "join-candidates")
+        for only_best in (True, True, False):
+            comp_of = lambda c: near(comps.select(F.col("cls").alias(c), F.col("comp").alias(f"comp_{c}")), n_left)  # noqa: B023, E731
+            apart = candidates.join(comp_of("x"), "x").join(comp_of("l"), "l").filter("comp_x != comp_l")
+            # of two components the pair that differs least comes first: a link makes the others needless
+            two = F.least("comp_x", "comp_l").alias("a"), F.greatest("comp_x", "comp_l").alias("b")
+            best = apart.groupBy(*two).agg(F.min(F.struct("differ", "x", "l")).alias("p")).select("p.x", "p.l")
+            chosen = written(best if only_best else apart.select("x", "l"), "join-chosen")
+            absorb(verified(chosen, sets, percent))
+            candidates = written(apart.select("x", "l", "differ").join(near(chosen, chosen.count()), ["x", "l"], "left_anti"), "join-candidates") if only_best else None
     drop_written(sets)
 
     by_class = classes.join(comps, "cls", "left").select("cls", "rep", F.coalesce("comp", "cls").alias("comp"))
