@@ -1,9 +1,9 @@
 """K-d tree sharding: recursive splits at distributed weighted medians along the widest metadata dimension.
 
-Items are groups of equal texts (they stay together), weighted by their bytes. A node that must give k shards is
-split where its left side has the share of k // 2 of k; leaves are the shards. The median of every node of a level is
-found together by radix refinement: each pass sums bytes per 2**10 bins of the still open range, so the driver sees at
-most (nodes * 2**10) sums, whatever the number of rows. Ties along a dimension are broken by the group's hash, so a
+Items are groups of equal texts (they stay together), weighted by their bytes. The number of shards is given, or follows from the bytes
+that a leaf may have. A node that must give k shards is split where its left side has the share of k // 2 of k; leaves are the shards. The median of every node of a level is
+found together by radix refinement: each pass sums bytes per 2**10 bins of the still open range and picks the median's bin in a window over
+each node's bins, so the driver sees a row for each node, whatever the number of rows. Ties along a dimension are broken by the group's hash, so a
 constant dimension can be split too.
 
 Defined results: a null text has no bytes (size 1) and counts as empty; null metadata counts as "" or 0; repeated rows are
@@ -12,7 +12,7 @@ items of their own in the same group; an empty table gives no rows; further colu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -71,19 +71,20 @@ def kd_tree(items: DataFrame, dims: list[str], shards: int) -> DataFrame:
             key = key.when(F.col("_dim") == i, F.col(f"_k{i}"))
         keyed = keyed.select("_node", "weight", key.alias("_key"))
         for bits in range(BITS - STEP, -1, -STEP):
-            at = spark.createDataFrame(list(prefix.items()), "_node int, _prefix bigint")
+            at = spark.createDataFrame([(n, prefix[n], left[n], float(goal[n])) for n in splitting], "_node int, _prefix bigint, _left bigint, _goal double")
             bins = (
                 keyed.join(F.broadcast(at), "_node").filter(F.shiftright("_key", bits + STEP) == F.col("_prefix"))
-                .groupBy("_node", F.shiftright("_key", bits).alias("_bin")).agg(F.sum("weight").alias("w")).collect()
+                .groupBy("_node", "_left", "_goal", F.shiftright("_key", bits).alias("_bin")).agg(F.sum("weight").alias("w"))
             )
+            upto = F.col("_left") + F.sum("w").over(Window.partitionBy("_node").orderBy("_bin"))
+            bins = bins.withColumn("_upto", upto).withColumn("_pick", F.struct("_bin", (F.col("_upto") - F.col("w")).alias("_before"), "w"))
+            # the first bin that reaches the goal, or else the last one
+            picks = bins.groupBy("_node").agg(F.coalesce(F.min(F.when(F.col("_upto") >= F.col("_goal"), F.col("_pick"))), F.max("_pick")).alias("p")).collect()
+            last = {}
+            for r in picks:
+                prefix[r["_node"]], left[r["_node"]], last[r["_node"]] = r["p"]["_bin"], r["p"]["_before"], r["p"]["w"]
             for n in splitting:
-                own = sorted((r["_bin"], r["w"]) for r in bins if r["_node"] == n)
-                for b, w in own:
-                    if left[n] + w >= goal[n] or b == own[-1][0]:
-                        prefix[n], last = b, w
-                        break
-                    left[n] += w
-                if bits == 0 and abs(left[n] + last - goal[n]) <= abs(left[n] - goal[n]):
+                if bits == 0 and abs(left[n] + last[n] - goal[n]) <= abs(left[n] - goal[n]):
                     prefix[n] += 1  # the group on the edge goes left
         cuts = []
         for n, (first, k) in splitting.items():
@@ -104,8 +105,13 @@ def kd_tree(items: DataFrame, dims: list[str], shards: int) -> DataFrame:
     return rows.join(F.broadcast(leaf), "_node").drop("_node", *[f"_{c}{i}" for i in range(len(dims)) for c in "vk"])
 
 
-def shard(docs: DataFrame, *, shards: int, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = ("lang", "source")) -> DataFrame:
-    """doc_id, size, text_crc32, shard, slot: every row in the shard of its group, numbered there without gaps."""
+def shard(docs: DataFrame, *, shards: int | None = None, target_bytes: int | None = None, id_col: str = "doc_id", text_col: str = "text", dims: tuple[str, ...] = ("lang", "source")) -> DataFrame:
+    """doc_id, size, text_crc32, shard, slot: every row in the shard of its group, numbered there without gaps.
+
+    shards: their number; target_bytes: leaves are split until their mean size is at most that (a leaf exceeds it by ties and large groups only).
+    """
+    if (shards is None) == (target_bytes is None):
+        raise ValueError("give either shards or target_bytes")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = written(
         docs.select(
@@ -117,6 +123,9 @@ def shard(docs: DataFrame, *, shards: int, id_col: str = "doc_id", text_col: str
     groups = rows.groupBy("grp").agg(
         F.sum("size").alias("weight"), F.log2(F.min("size")).alias("length"), *[F.min(f"m_{d}").alias(f"m_{d}") for d in dims]
     )
+    if shards is None:
+        shards = max(1, -(-(rows.agg(F.sum("size")).first()[0] or 0) // target_bytes))
     placed = kd_tree(groups, [*[f"m_{d}" for d in dims], "length"], shards).select("grp", "shard")
+    placed = written(placed, "shard-groups")  # apart, so that a group of very many rows can be split between tasks of the join
     found = rows.select("doc_id", "size", "text_crc32", "grp").join(placed, "grp").drop("grp")
     return numbered(found, ["shard"], ["doc_id", "text_crc32"], "slot")

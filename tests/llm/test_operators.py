@@ -237,7 +237,19 @@ def test_sharding(docs, texts, empty):
         assert r["size"] == len((texts[r["doc_id"]] or "").encode()) + 1 and r["text_crc32"] == zlib.crc32((texts[r["doc_id"]] or "").encode())
         of[texts[r["doc_id"]] or ""].add(r["shard"])
     assert all(len(v) == 1 for v in of.values())
-    assert sharding.shard(empty, shards=4).count() == 0
+    assert sharding.shard(empty, shards=4).count() == 0 == sharding.shard(empty, target_bytes=10).count()
+    with pytest.raises(ValueError, match="either"):
+        sharding.shard(docs)
+
+
+def test_sharding_to_target_bytes(spark):
+    rng = random.Random(12)
+    texts = ["t" * rng.randint(0, 400) + str(i) for i in range(600)]
+    sizes = collections.Counter()
+    for r in sharding.shard(frame(spark, texts), target_bytes=20_000).collect():
+        sizes[r["shard"]] += r["size"]
+    total = sum(len(t) + 1 for t in texts)
+    assert len(sizes) == -(-total // 20_000) and max(sizes.values()) <= 20_000 + 500
 
 
 def test_sharding_is_even(spark):
