@@ -28,13 +28,21 @@ def parsed(df: DataFrame) -> DataFrame:
     return with_dates(df).dropna(subset=["Holdings_As_Of", "ticker", "weight"])
 
 
-def sanitize(df: DataFrame, cfg: Config) -> DataFrame:
+def cleaned(df: DataFrame, cfg: Config) -> DataFrame:
+    """Allowed rows with clean tickers. With renames, rows of one key aren't merged yet: raw_ticker is what merged() orders names by."""
     rules = cfg.sanitizer
     kept = df.filter(ticker_allowed(F.col("ticker"), rules) & name_allowed(F.col("name"), rules))
     clean = kept.withColumn("raw_ticker", F.col("ticker")).withColumn("ticker", clean_ticker(F.col("ticker"), rules)).filter("ticker != ''")
-    if not rules.ticker_renames:
-        return clean.drop("raw_ticker")
-    return merged(clean, F.col("raw_ticker"))
+    return clean if rules.ticker_renames else clean.drop("raw_ticker")
+
+
+def unique(clean: DataFrame) -> DataFrame:
+    """cleaned() rows, merged where they aren't yet."""
+    return merged(clean, F.col("raw_ticker")) if "raw_ticker" in clean.columns else clean
+
+
+def sanitize(df: DataFrame, cfg: Config) -> DataFrame:
+    return unique(cleaned(df, cfg))
 
 
 def merged(df: DataFrame, order: Column) -> DataFrame:
@@ -45,6 +53,11 @@ def merged(df: DataFrame, order: Column) -> DataFrame:
     ).select("ETF_Ticker", "ticker", "name", "weight", "Holdings_As_Of", "Date_Scraped")
 
 
+def scorable(history: DataFrame, cfg: Config) -> DataFrame:
+    """History parsed, restricted to the universe and cleaned; rows of one key are merged by whoever needs them."""
+    return cleaned(in_universe(parsed(history), cfg), cfg)
+
+
 def prepared(history: DataFrame, cfg: Config) -> DataFrame:
     """History ready for scoring: parsed, restricted to the universe, sanitised."""
-    return sanitize(in_universe(parsed(history), cfg), cfg)
+    return unique(scorable(history, cfg))

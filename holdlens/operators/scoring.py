@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
-from .sanitize import prepared, with_dates
+from .sanitize import scorable, unique, with_dates
 
 
 def rank_multiplier(rank: Column, cfg: Config) -> Column:
@@ -54,13 +54,14 @@ def as_of_grid(clean: DataFrame, snapshots: DataFrame) -> DataFrame:
 
 
 def scored_holdings(clean: DataFrame, snapshots: DataFrame, cfg: Config) -> DataFrame:
-    """Each fund's latest holdings at each snapshot with rank, NEW flag, tier, points and score."""
-    # the grid has a row for each fund and snapshot, so its window is small
+    """Each fund's latest holdings at each snapshot with rank, NEW flag, tier, points and score. clean: scorable() or prepared()."""
+    # the grid has a row for each of the configuration's funds and each snapshot day: small enough for a window and to be broadcast
     cutoff = F.date_sub(F.max("Holdings_As_Of").over(Window.partitionBy("snapshot_date")), cfg.new_lookback_days)
     grid = as_of_grid(clean, snapshots).withColumn("new_since", cutoff)
-    seen = Window.partitionBy("ETF_Ticker", "ticker")
-    rows = clean.withColumn("first_seen", F.min("Holdings_As_Of").over(seen))
-    latest = rows.join(grid, ["ETF_Ticker", "Holdings_As_Of"])
+    seen = clean.groupBy("ETF_Ticker", "ticker").agg(F.min("Holdings_As_Of").alias("first_seen"))
+    # only rows of dates that a snapshot sees are merged, ranked and scored
+    wanted = unique(clean.join(F.broadcast(grid.select("ETF_Ticker", "Holdings_As_Of").distinct()), ["ETF_Ticker", "Holdings_As_Of"], "left_semi"))
+    latest = wanted.join(F.broadcast(grid), ["ETF_Ticker", "Holdings_As_Of"]).join(seen, ["ETF_Ticker", "ticker"])
     in_fund = Window.partitionBy("snapshot_date", "ETF_Ticker").orderBy(F.desc("weight"), "ticker")
     tier, points = _lookup(F.col("ETF_Ticker"), cfg.fund_tiers()), _lookup(F.col("ETF_Ticker"), {k: float(v) for k, v in cfg.fund_points().items()})
     bonus_tier = F.col("tier").isin(list(cfg.new_bonus_tiers)) if cfg.new_bonus_tiers else F.lit(False)
@@ -86,10 +87,10 @@ def conviction_flag(etf_count: Column, tiers: Column, cfg: Config) -> Column:
 
 
 def leaderboards(scored: DataFrame, cfg: Config) -> DataFrame:
-    """One row for each snapshot and ticker, ranked within the snapshot."""
+    """One row for each snapshot and ticker, ranked within the snapshot. A fund has a ticker once in a snapshot, so counting rows counts funds."""
     board = scored.groupBy("snapshot_date", "ticker").agg(
         F.coalesce(F.min_by("name", F.when(F.col("name").isNotNull(), F.struct("ETF_Ticker", "rank"))), F.lit(None)).alias("company"),
-        F.round(F.sum("score"), 6).alias("score"), F.count_distinct("ETF_Ticker").alias("etf_count"), F.sum("weight").alias("weight_sum"),
+        F.round(F.sum("score"), 6).alias("score"), F.count("ETF_Ticker").alias("etf_count"), F.sum("weight").alias("weight_sum"),
         F.array_join(F.array_sort(F.collect_set("ETF_Ticker")), ", ").alias("held_by"), F.array_sort(F.collect_set("tier")).alias("tier_list"),
         F.bool_or("is_new").alias("any_new"), F.min("rank").alias("best_rank"),
     )
@@ -103,7 +104,7 @@ def leaderboards(scored: DataFrame, cfg: Config) -> DataFrame:
 
 def compute_leaderboard(history: DataFrame, cfg: Config, *, as_of: datetime.date | None = None) -> tuple[DataFrame, DataFrame]:
     """(leaderboard, latest scored holdings) at one date; the last date of the history by default."""
-    clean = prepared(history, cfg)
+    clean = scorable(history, cfg)
     if as_of is not None:
         clean = clean.filter(F.col("Holdings_As_Of") <= F.lit(as_of))
     snapshot = clean.agg(F.max("Holdings_As_Of").alias("snapshot_date"))
@@ -115,4 +116,4 @@ def historical_leaderboards(history: DataFrame, cfg: Config, *, lookback_days: i
     """The leaderboard at every snapshot of the look-back window, long form."""
     days = cfg.leaderboard_lookback_days if lookback_days == -1 else lookback_days
     calendar = snapshot_calendar(with_dates(history), days)  # of all rows, those without ticker or weight too
-    return leaderboards(scored_holdings(prepared(history, cfg), calendar, cfg), cfg)
+    return leaderboards(scored_holdings(scorable(history, cfg), calendar, cfg), cfg)

@@ -29,9 +29,9 @@ def fund_overlap(latest: DataFrame) -> DataFrame:
     Tickers carry the set of funds that hold them, so the counts come from one aggregation per ticker and funds' pairs (a
     configuration-sized grid), not from a self join of holdings.
     """
-    sizes = latest.groupBy("ETF_Ticker").agg(F.count_distinct("ticker").alias("size"))
     funds = latest.groupBy("ticker").agg(F.array_sort(F.collect_set("ETF_Ticker")).alias("funds"))
     shared = funds.select(F.explode("funds").alias("etf_a"), "funds").select("etf_a", F.explode("funds").alias("etf_b")).groupBy("etf_a", "etf_b").agg(F.count(F.lit(1)).alias("shared"))
+    sizes = shared.filter("etf_a = etf_b").select(F.col("etf_a").alias("ETF_Ticker"), F.col("shared").alias("size"))  # what a fund shares with itself
     all_sizes = sizes.agg(F.collect_list(F.struct("ETF_Ticker", "size"))).scalar()
     grid = sizes.select(F.col("ETF_Ticker").alias("etf_a"), F.col("size").alias("size_a"), F.explode(all_sizes).alias("b"))
     grid = grid.select("etf_a", "size_a", F.col("b.ETF_Ticker").alias("etf_b"), F.col("b.size").alias("size_b"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from .. import shared
 from ..config import Config
 from ..operators import backtest, deltas, markets, scoring, signals, structure, temporal
-from ..operators.sanitize import prepared, with_dates
+from ..operators.sanitize import prepared, scorable, with_dates
 
 #: name -> (label, description) of the strategies of a back-test
 STRATEGIES = {
@@ -27,7 +27,7 @@ def period_deltas(history: DataFrame, cfg: Config) -> DataFrame:
     last = history.agg(F.max(F.col("Holdings_As_Of").cast("date"))).scalar()
     periods = [(str(p), F.date_sub(last, int(p))) for p in cfg.delta_periods_days] + [("YTD", F.trunc(last, "year").cast("date"))]
     dates = history.sparkSession.range(1).select(F.explode(F.array_distinct(F.array(last, *[d for _, d in periods]))).alias("snapshot_date"))
-    boards = shared.written(scoring.leaderboards(scoring.scored_holdings(prepared(history, cfg), dates, cfg), cfg), "period-boards")
+    boards = shared.written(scoring.leaderboards(scoring.scored_holdings(scorable(history, cfg), dates, cfg), cfg), "period-boards")
     return signals.score_deltas_by_period(boards, periods, last)
 
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import shared
 from ..config import DEFAULT, Config, Fund
 
 FUNDS_F1 = tuple(Fund(*f) for f in (("signup", "Scout", 40.0), ("purchase", "Quant", 40.0), ("view", "Quality", 30.0), ("click", "Trend", 10.0), ("error", "Blob", 2.0)))
@@ -19,6 +22,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The history that f derives, written once in an application: a history is a stored table, not a query over events."""
+    known: dict[tuple[str, str], DataFrame] = {}
+
+    @wraps(f)
+    def read(spark: SparkSession, sf_dir: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in known:
+            known[key] = shared.written(f(spark, sf_dir), f.__name__)
+        return known[key]
+
+    return read
+
+
+@stored
 def holdings_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five funds (event types) over 30 days; a holding's weight is its share of the day's value."""
     day = F.col("ts").cast("date")
@@ -29,6 +47,7 @@ def holdings_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.select("ETF_Ticker", "ticker", F.concat(F.lit("User "), F.col("user_id")).alias("name"), (F.col("v") / total).alias("weight"), "Holdings_As_Of", F.col("Holdings_As_Of").alias("Date_Scraped"))
 
 
+@stored
 def holdings_f2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """21 funds over months of shipments: the volume fixture."""
     names = F.array(*[F.lit(f.ticker) for f in DEFAULT.funds])

@@ -103,7 +103,7 @@ def holdings_dedupe(spark, sf_dir):
 
 @query
 def parse_weights(spark, sf_dir):
-    raw = spark.sql(f"SELECT * FROM VALUES {WEIGHTS} AS t(fund, Symbol, `Net Assets %`)")
+    raw = spark.sql(f"SELECT * FROM VALUES {WEIGHTS} AS t(fund, Symbol, `% of Net Assets`)")
     out = ingest.standardised(raw, F.col("fund"), F.lit("2026-05-01").cast("date"), F.lit("2026-05-02").cast("date"))
     return out.select("ETF_Ticker", "ticker", F.round("weight", 9).alias("weight"))
 
@@ -276,7 +276,7 @@ def score_delta_periods(spark, sf_dir):
     last = history.agg(F.max("Holdings_As_Of")).scalar()
     periods = [(str(p), F.date_sub(last, p)) for p in (1, 7, 14)]
     dates = spark.range(1).select(F.explode(F.array(last, *[d for _, d in periods])).alias("snapshot_date"))
-    boards = scoring.leaderboards(scoring.scored_holdings(sanitize.prepared(history, CFG), dates, CFG), CFG)
+    boards = scoring.leaderboards(scoring.scored_holdings(sanitize.scorable(history, CFG), dates, CFG), CFG)
     return signals.score_deltas_by_period(boards, periods, last)
 
 
@@ -286,7 +286,7 @@ def ytd_delta(spark, sf_dir):
     last = history.agg(F.max("Holdings_As_Of")).scalar()
     first = F.trunc(last, "year")
     dates = spark.range(1).select(F.explode(F.array(last, first)).alias("snapshot_date"))
-    boards = scoring.leaderboards(scoring.scored_holdings(sanitize.prepared(history, CFG), dates, CFG), CFG)
+    boards = scoring.leaderboards(scoring.scored_holdings(sanitize.scorable(history, CFG), dates, CFG), CFG)
     return signals.score_deltas_by_period(boards, [("YTD", first)], last)
 
 
@@ -347,7 +347,7 @@ def fund_overlap(spark, sf_dir):
 
 @query
 def fund_overlap_volume(spark, sf_dir):
-    return structure.fund_overlap(scoring.compute_leaderboard(fx.holdings_f2(spark, sf_dir), fx.CFG_F2)[1])
+    return structure.fund_overlap(shared.written(scoring.compute_leaderboard(fx.holdings_f2(spark, sf_dir), fx.CFG_F2)[1].select("ETF_Ticker", "ticker"), "latest"))
 
 
 @query
