@@ -364,7 +364,7 @@ def led(sets: DataFrame, seed: int, percent: int) -> DataFrame:
 
 
 def by_prefix(sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (x, l) of different components that can link, and differ: they meet at one of the first n-grams among those that several components have.
+    """All pairs (x, l) of different components that can link, differ, comp_x, comp_l: they meet at one of the first n-grams among those that several components have.
 
     A pair's symmetric difference has the n-grams that no other component has, and at least as many others as the parities differ of the
     two sets' n-grams dealt into 64 * SIGNATURE bits. A pair is left out only where that is more than a link allows.
@@ -400,7 +400,7 @@ def by_prefix(sets: DataFrame, percent: int) -> DataFrame:
         differ += F.bit_count(F.col(c).bitwiseXOR(F.col(f"l{c}")))
     close = differ * (100 + percent) <= (n + ln) * (100 - percent)
     return prefix.join(other, (F.col("h") == F.col("lh")) & (F.col("cls") > F.col("lcls")) & (F.col("comp") != F.col("lcomp")) & fits & close).select(
-        F.col("cls").alias("x"), F.col("lcls").alias("l"), differ.alias("differ")
+        F.col("cls").alias("x"), F.col("lcls").alias("l"), differ.alias("differ"), F.col("comp").alias("comp_x"), F.col("lcomp").alias("comp_l")
     ).distinct()
 
 
@@ -477,14 +477,20 @@ def _joined(docs: DataFrame, *, n: int, percent: int = 75, id_col: str, text_col
     if not open_sets.isEmpty():
         candidates = written(by_prefix(open_sets.join(near(comps, n_left), "cls"), percent), "join-candidates")
         for only_best in (True, True, False):
-            comp_of = lambda c: near(comps.select(F.col("cls").alias(c), F.col("comp").alias(f"comp_{c}")), n_left)  # noqa: B023, E731
-            apart = candidates.join(comp_of("x"), "x").join(comp_of("l"), "l").filter("comp_x != comp_l")
             # of two components the pair that differs least comes first: a link makes the others needless
             two = F.least("comp_x", "comp_l").alias("a"), F.greatest("comp_x", "comp_l").alias("b")
-            best = apart.groupBy(*two).agg(F.min(F.struct("differ", "x", "l")).alias("p")).select("p.x", "p.l")
-            chosen = written(best if only_best else apart.select("x", "l"), "join-chosen")
-            absorb(verified(chosen, sets, percent))
-            candidates = written(apart.select("x", "l", "differ").join(near(chosen, chosen.count()), ["x", "l"], "left_anti"), "join-candidates") if only_best else None
+            best = candidates.groupBy(*two).agg(F.min(F.struct("differ", "x", "l")).alias("p")).select("p.x", "p.l")
+            chosen, before = written(best if only_best else candidates.select("x", "l"), "join-chosen"), comps
+            linked = absorb(verified(chosen, sets, percent))
+            if not only_best:
+                break
+            left_over = candidates.join(near(chosen, chosen.count()), ["x", "l"], "left_anti")
+            if linked:
+                moved = before.withColumnRenamed("comp", "was").join(near(comps, n_left), "cls").filter("was != comp").select("was", "comp").distinct()
+                for side in ("comp_x", "comp_l"):
+                    now = near(moved.select(F.col("was").alias(side), F.col("comp").alias("now")), n_left)
+                    left_over = left_over.join(now, side, "left").withColumn(side, F.coalesce("now", side)).drop("now")
+            candidates = written(left_over.filter("comp_x != comp_l"), "join-candidates")
     drop_written(sets)
 
     by_class = classes.join(comps, "cls", "left").select("cls", "rep", F.coalesce("comp", "cls").alias("comp"))
