@@ -38,7 +38,8 @@ def op5_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    forest = secrets.train(secrets.labelled_findings(spark))
+    words = secrets.common_words(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    forest = secrets.train(secrets.labelled_findings(spark), dictionary=words)
     return secrets.scan(table(spark, sf_dir, "documents"), forest)
 
 

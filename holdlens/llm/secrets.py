@@ -11,6 +11,11 @@ an empty table gives no rows; very long texts are read whole; further columns ar
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterable
+from dataclasses import dataclass
+from itertools import islice
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,7 +29,8 @@ KINDS = {
     "random_text": r"\b(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{24,}",
 }
 PATTERN = "|".join(KINDS.values())
-DICTIONARY = (
+#: Words that stand for a value; a dictionary of common words comes beside them.
+STAND_INS = (
     "password", "example", "sample", "changeme", "change", "placeholder", "secret", "token", "your", "test", "demo", "dummy", "none", "null", "true",
     "false", "here", "replace", "insert", "value", "string", "number", "function", "class", "config", "default", "public", "private", "version",
     "index", "image", "content", "module", "package", "service", "server", "client", "request", "response", "session", "user", "name", "file", "data",
@@ -39,6 +45,20 @@ NAMES = (
 )
 
 
+@dataclass(frozen=True)
+class Forest:
+    """SQL over a struct f of the features, and the dictionary that one of them counts with."""
+
+    sql: str
+    dictionary: tuple[str, ...]
+
+
+def common_words(ranks: Iterable[bytes], n: int = 1500) -> tuple[str, ...]:
+    """The first n words of at least four letters in a tokenizer's vocabulary, which comes by frequency: tokens that are a space and small letters."""
+    words = (t[1:].decode() for t in ranks if re.fullmatch(rb" [a-z]{4,}", t))
+    return tuple(islice(words, n))
+
+
 def _text(s: str) -> str:
     """A Spark SQL string literal."""
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -57,11 +77,12 @@ def candidates(text: Column) -> Column:
     return F.when(text.rlike(PATTERN), raw).otherwise(F.array().cast("array<struct<m:string,left:string,right:string>>"))
 
 
-def described(docs: DataFrame, text: Column, path: Column) -> DataFrame:
+def described(docs: DataFrame, text: Column, path: Column, dictionary: tuple[str, ...] = ()) -> DataFrame:
     """docs with the column found: array<struct<m, left, start, kind, value, the features>>."""
     share = lambda chars: f"length(regexp_replace(c.value, '[^{chars}]', '')) / length(c.value)"
     cls = "regexp_replace(regexp_replace(regexp_replace(regexp_replace(c.value, '[^A-Za-z0-9]', '-'), '[a-z]', 'a'), '[A-Z]', 'b'), '[0-9]', 'c')"
-    words = _text("(?i)" + "|".join(DICTIONARY))
+    # longer words first: the first alternative that fits is taken
+    words = _text("(?i)" + "|".join(sorted({*STAND_INS, *dictionary}, key=lambda w: (-len(w), w))))
     features = {
         "length": "CAST(length(c.value) AS DOUBLE)", "digits": share("0-9"), "upper": share("A-Z"), "lower": share("a-z"), "other": f"1 - {share('A-Za-z0-9')}",
         "distinct": "size(array_distinct(split(c.value, ''))) / length(c.value)",
@@ -114,18 +135,18 @@ def labelled_findings(spark: SparkSession, n: int = 4000) -> DataFrame:
         key("", F.lit("your private key content here\n")), key("RSA ", F.lit("example key data replace here\n")), F.concat(F.lit("ghp_your_token_here_example_"), h("w", 2)),
         F.lit("sk-your-secret-key-placeholder"), F.lit("eyJexample_header.sample_content.example"), F.concat(F.lit("file /content/module/version_"), h("x", 2), F.lit("/package-index/data")),
     )
-    around = pick("thon ", "the value is ", "erin. ", "", "see ", "lorem ipsum and ")
-    path = F.when(F.pmod(F.xxhash64("id", F.lit("p")), F.lit(10)) < F.when(F.col("label") == 1, 1).otherwise(4), F.lit("tests/example.txt")).otherwise(F.lit("src0"))
+    around = pick("set ", "the value is ", "note: ", "", "see ", "in the file we have ")
+    path = F.when(F.pmod(F.xxhash64("id", F.lit("p")), F.lit(10)) < F.when(F.col("label") == 1, 1).otherwise(4), F.lit("tests/example.txt")).otherwise(F.lit("app/main.py"))
     rows = spark.range(n).withColumn("label", (F.col("id") % 2).cast("double"))
     return rows.select(F.concat(around, F.when(F.col("label") == 1, good).otherwise(bad), F.lit(" and then on.")).alias("text"), path.alias("path"), "label")
 
 
-def train(findings: DataFrame, *, trees: int = 20, depth: int = 6, seed: int = 7) -> str:
-    """The forest of labelled findings (text, path, label) as SQL over a struct f: the mean share of label 1 in the leaves."""
+def train(findings: DataFrame, *, dictionary: tuple[str, ...] = (), trees: int = 20, depth: int = 6, seed: int = 7) -> Forest:
+    """The forest of labelled findings (text, path, label): the mean share of label 1 in the leaves. Findings without label aren't learnt from."""
     from pyspark.ml.classification import RandomForestClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    rows = described(findings, F.col("text"), F.col("path")).select("label", F.explode("found").alias("f")).select("label", "f.*")
+    rows = described(findings.filter("label IS NOT NULL"), F.col("text"), F.col("path"), dictionary).select("label", F.explode("found").alias("f")).select("label", "f.*")
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, featuresCol="features", labelCol="label")
     model = forest.fit(VectorAssembler(inputCols=list(NAMES), outputCol="features").transform(rows).select("label", "features"))
 
@@ -136,17 +157,17 @@ def train(findings: DataFrame, *, trees: int = 20, depth: int = 6, seed: int = 7
         split = node.split()
         return f"CASE WHEN f.{NAMES[split.featureIndex()]} <= {split.threshold()!r}D THEN {sql(node.leftChild())} ELSE {sql(node.rightChild())} END"
 
-    return "(" + " + ".join(sql(t._call_java("rootNode")) for t in model.trees) + f") / {trees}D"
+    return Forest("(" + " + ".join(sql(t._call_java("rootNode")) for t in model.trees) + f") / {trees}D", dictionary)
 
 
-def _scored(docs: DataFrame, forest: str, text_col: str, path_col: str | None) -> DataFrame:
+def _scored(docs: DataFrame, forest: Forest, text_col: str, path_col: str | None) -> DataFrame:
     path = F.col(path_col).cast("string") if path_col else F.lit("")
-    return described(docs, F.col(text_col).cast("string"), path).withColumn(
-        "found", F.expr(f"transform(found, f -> named_struct('m', f.m, 'left', f.left, 'start', f.start, 'kind', f.kind, 'value', f.value, 'score', {forest}))")
+    return described(docs, F.col(text_col).cast("string"), path, forest.dictionary).withColumn(
+        "found", F.expr(f"transform(found, f -> named_struct('m', f.m, 'left', f.left, 'start', f.start, 'kind', f.kind, 'value', f.value, 'score', {forest.sql}))")
     )
 
 
-def scan(docs: DataFrame, forest: str, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", threshold: float = 0.5) -> DataFrame:
+def scan(docs: DataFrame, forest: Forest, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", threshold: float = 0.5) -> DataFrame:
     """A row for each candidate: doc_id, kind, start, length (of the value, in characters), value, score, predicted."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *([F.col(path_col).alias("path")] if path_col else []))
     f = _scored(rows, forest, "text", "path" if path_col else None).select("doc_id", F.explode("found").alias("f"))
@@ -157,7 +178,7 @@ def scan(docs: DataFrame, forest: str, *, id_col: str = "doc_id", text_col: str
     )
 
 
-def redact(docs: DataFrame, forest: str, *, text_col: str = "text", path_col: str | None = "source", threshold: float = 0.5) -> DataFrame:
+def redact(docs: DataFrame, forest: Forest, *, text_col: str = "text", path_col: str | None = "source", threshold: float = 0.5) -> DataFrame:
     """docs with each predicted secret's value replaced by [SECRET:kind]; all rows and columns stay."""
     names = docs.columns
     shut = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("d"))
