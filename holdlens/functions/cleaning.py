@@ -11,8 +11,8 @@ from ..config import Sanitizer
 
 
 def strip(c: Column) -> Column:
-    """Without white space of any kind at either end."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Without white space at either end."""
+    return F.btrim(c, F.lit(" \t\n\x0b\f\r"))
 
 
 def ticker_allowed(ticker: Column, rules: Sanitizer) -> Column:
@@ -31,10 +31,15 @@ def name_allowed(name: Column, rules: Sanitizer) -> Column:
 
 
 def clean_ticker(ticker: Column, rules: Sanitizer) -> Column:
-    """Punctuation rewritten in order, runs of dots collapsed, dots stripped, then renamed."""
+    """Punctuation rewritten in order, runs of dots collapsed, dots stripped."""
     t = reduce(lambda c, r: F.replace(c, F.lit(r[0]), F.lit(r[1])), rules.ticker_replacements, strip(ticker))
-    t = F.regexp_replace(F.regexp_replace(t, r"\.{2,}", "."), r"^\.+|\.+$", "")
-    return reduce(lambda c, r: c.when(t == r[0], F.lit(r[1])), rules.ticker_renames, F.when(F.lit(False), t)).otherwise(t)
+    # a pattern costs much more than a search for two dots, which are rare
+    return F.btrim(F.when(F.contains(t, F.lit("..")), F.regexp_replace(t, r"\.{2,}", ".")).otherwise(t), F.lit("."))
+
+
+def renamed(ticker: Column, rules: Sanitizer) -> Column:
+    """A clean ticker's present name."""
+    return reduce(lambda c, r: c.when(ticker == r[0], F.lit(r[1])), rules.ticker_renames, F.when(F.lit(False), ticker)).otherwise(ticker)
 
 
 def weight_number(text: Column) -> Column:

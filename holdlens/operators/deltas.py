@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
-from .sanitize import prepared, scorable, unique
+from .sanitize import cleaned, prepared, sanitize, scorable
 from .scoring import as_of_grid, fund_dates
 
 
@@ -16,10 +16,9 @@ def rank_deltas(history: DataFrame, cfg: Config, periods: tuple[int, ...] | None
     Then is the fund's last date at least period_days before its latest one, or its first date if there is none.
     """
     days = periods or cfg.delta_periods_days
-    clean = scorable(history, cfg)
+    rows = scorable(history, cfg)
     in_fund = Window.partitionBy("ETF_Ticker", "Holdings_As_Of").orderBy(F.desc("weight"), "ticker")
-    dates = clean.groupBy("ETF_Ticker").agg(F.array_sort(F.collect_set("Holdings_As_Of")).alias("dates"))
-    targets = dates.withColumn("period_days", F.explode(F.array(*[F.lit(int(p)) for p in days]))).select(
+    targets = fund_dates(cleaned(rows, cfg)).withColumn("period_days", F.explode(F.array(*[F.lit(int(p)) for p in days]))).select(
         "ETF_Ticker", "period_days", F.array_max("dates").alias("now"),
         F.coalesce(
             F.array_max(F.filter("dates", lambda d: d <= F.date_sub(F.array_max("dates"), F.col("period_days")))), F.array_min("dates")
@@ -27,7 +26,7 @@ def rank_deltas(history: DataFrame, cfg: Config, periods: tuple[int, ...] | None
     )
     # two dates at most for each of the configuration's funds and each period
     wanted = F.broadcast(targets.select("ETF_Ticker", F.explode(F.array("now", "then")).alias("Holdings_As_Of")).distinct())
-    ranked = unique(clean.join(wanted, ["ETF_Ticker", "Holdings_As_Of"], "left_semi")).select(
+    ranked = sanitize(rows.join(wanted, ["ETF_Ticker", "Holdings_As_Of"], "left_semi"), cfg).select(
         "ETF_Ticker", "ticker", "Holdings_As_Of", "weight", F.row_number().over(in_fund).alias("rank")
     )
     now = ranked.join(targets, (ranked.ETF_Ticker == targets.ETF_Ticker) & (ranked.Holdings_As_Of == targets.now)).select(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Config
-from ..functions.cleaning import clean_ticker, name_allowed, ticker_allowed
+from ..functions.cleaning import clean_ticker, name_allowed, renamed, ticker_allowed
 from ..schema import KEY, validate_columns
 
 
@@ -33,7 +33,7 @@ def cleaned(df: DataFrame, cfg: Config) -> DataFrame:
     rules = cfg.sanitizer
     kept = df.filter(ticker_allowed(F.col("ticker"), rules) & name_allowed(F.col("name"), rules))
     clean = kept.withColumn("raw_ticker", F.col("ticker")).withColumn("ticker", clean_ticker(F.col("ticker"), rules)).filter("ticker != ''")
-    return clean if rules.ticker_renames else clean.drop("raw_ticker")
+    return clean.withColumn("ticker", renamed(F.col("ticker"), rules)) if rules.ticker_renames else clean.drop("raw_ticker")
 
 
 def unique(clean: DataFrame) -> DataFrame:
@@ -54,10 +54,10 @@ def merged(df: DataFrame, order: Column) -> DataFrame:
 
 
 def scorable(history: DataFrame, cfg: Config) -> DataFrame:
-    """History parsed, restricted to the universe and cleaned; rows of one key are merged by whoever needs them."""
-    return cleaned(in_universe(parsed(history), cfg), cfg)
+    """History parsed and restricted to the universe; cleaned and merged by whoever needs it, after the dates are chosen."""
+    return in_universe(parsed(history), cfg)
 
 
 def prepared(history: DataFrame, cfg: Config) -> DataFrame:
     """History ready for scoring: parsed, restricted to the universe, sanitised."""
-    return unique(scorable(history, cfg))
+    return sanitize(scorable(history, cfg), cfg)

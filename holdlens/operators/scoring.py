@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
-from .sanitize import scorable, unique, with_dates
+from .sanitize import cleaned, sanitize, scorable, with_dates
 
 
 def rank_multiplier(rank: Column, cfg: Config) -> Column:
@@ -53,14 +53,15 @@ def as_of_grid(clean: DataFrame, snapshots: DataFrame) -> DataFrame:
     ).dropna()
 
 
-def scored_holdings(clean: DataFrame, snapshots: DataFrame, cfg: Config) -> DataFrame:
-    """Each fund's latest holdings at each snapshot with rank, NEW flag, tier, points and score. clean: scorable() or prepared()."""
+def scored_holdings(rows: DataFrame, snapshots: DataFrame, cfg: Config) -> DataFrame:
+    """Each fund's latest holdings at each snapshot with rank, NEW flag, tier, points and score. rows: scorable()."""
+    clean = cleaned(rows, cfg)
     # the grid has a row for each of the configuration's funds and each snapshot day: small enough for a window and to be broadcast
     cutoff = F.date_sub(F.max("Holdings_As_Of").over(Window.partitionBy("snapshot_date")), cfg.new_lookback_days)
     grid = as_of_grid(clean, snapshots).withColumn("new_since", cutoff)
     seen = clean.groupBy("ETF_Ticker", "ticker").agg(F.min("Holdings_As_Of").alias("first_seen"))
-    # only rows of dates that a snapshot sees are merged, ranked and scored
-    wanted = unique(clean.join(F.broadcast(grid.select("ETF_Ticker", "Holdings_As_Of").distinct()), ["ETF_Ticker", "Holdings_As_Of"], "left_semi"))
+    # of the names and weights only those of dates that a snapshot sees are cleaned, merged, ranked and scored
+    wanted = sanitize(rows.join(F.broadcast(grid.select("ETF_Ticker", "Holdings_As_Of").distinct()), ["ETF_Ticker", "Holdings_As_Of"], "left_semi"), cfg)
     latest = wanted.join(F.broadcast(grid), ["ETF_Ticker", "Holdings_As_Of"]).join(seen, ["ETF_Ticker", "ticker"])
     in_fund = Window.partitionBy("snapshot_date", "ETF_Ticker").orderBy(F.desc("weight"), "ticker")
     tier, points = _lookup(F.col("ETF_Ticker"), cfg.fund_tiers()), _lookup(F.col("ETF_Ticker"), {k: float(v) for k, v in cfg.fund_points().items()})
@@ -104,11 +105,11 @@ def leaderboards(scored: DataFrame, cfg: Config) -> DataFrame:
 
 def compute_leaderboard(history: DataFrame, cfg: Config, *, as_of: datetime.date | None = None) -> tuple[DataFrame, DataFrame]:
     """(leaderboard, latest scored holdings) at one date; the last date of the history by default."""
-    clean = scorable(history, cfg)
+    rows = scorable(history, cfg)
     if as_of is not None:
-        clean = clean.filter(F.col("Holdings_As_Of") <= F.lit(as_of))
-    snapshot = clean.agg(F.max("Holdings_As_Of").alias("snapshot_date"))
-    latest = scored_holdings(clean, snapshot, cfg)
+        rows = rows.filter(F.col("Holdings_As_Of") <= F.lit(as_of))
+    snapshot = fund_dates(cleaned(rows, cfg)).agg(F.max(F.array_max("dates")).alias("snapshot_date"))
+    latest = scored_holdings(rows, snapshot, cfg)
     return leaderboards(latest, cfg).drop("snapshot_date"), latest.drop("snapshot_date")
 
 
