@@ -7,7 +7,8 @@ each node's bins, so the driver sees a row for each node, whatever the number of
 constant dimension can be split too.
 
 Defined results: a null text has no bytes (size 1) and counts as empty; null metadata counts as "" or 0; repeated rows are
-items of their own in the same group; an empty table gives no rows; further columns are never read.
+items of their own in the same group; a null identifier stays null and takes a slot; an empty table gives no rows; further columns, whatever
+their names, are never read.
 """
 
 from __future__ import annotations

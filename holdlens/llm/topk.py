@@ -8,7 +8,8 @@ wave: the first wave searches one shard, its kth scores start the search of all
 
 Defined results: vectors that are null or hold null or non-finite components take no part, neither do queries of that
 kind; vectors of another length than the query's are no candidates; scores tie to the smaller identifier; repeated rows count once
-for each identifier; an empty table gives no rows.
+for each identifier; a vector without identifier takes no part; an empty table gives no rows; further columns, whatever their names, are
+never read.
 """
 
 from __future__ import annotations

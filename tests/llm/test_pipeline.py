@@ -11,6 +11,20 @@ from holdlens.llm.common import table, written
 FOLDER = "/root/testdata/sf0.001"
 
 
+def test_empty_documents(spark, tmp_path):
+    """Every stage on a table without rows: the columns of documents, or of pieces, and no rows."""
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    spark.createDataFrame([], schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0, 1), (2, 1, 0)], "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs = table(spark, str(tmp_path), "documents")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, str(tmp_path)), f"test-{name}")
+        assert docs.count() == 0
+        if name != "packing":
+            assert [f.name for f in docs.schema] == [c.split()[0] for c in schema.split(", ")]
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
 @pytest.mark.skipif(not os.path.isdir(FOLDER), reason="needs the test tables")
 def test_stages(spark):
     from test_operators import components, norm
