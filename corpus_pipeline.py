@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from holdlens.llm import exact_dedup, packing, secrets, simjoin, toxicity
+from holdlens.llm import bpe, exact_dedup, packing, secrets, simjoin, toxicity
 from holdlens.llm.common import table, written
 
 
@@ -27,7 +27,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secrets.redact(docs, secrets.train(secrets.labelled_findings(spark)))
+    words = secrets.common_words(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    return secrets.redact(docs, secrets.train(secrets.labelled_findings(spark), dictionary=words))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
