@@ -11,9 +11,9 @@ class. The steps, each of them exact:
 2. Leaders. Classes that remain meet at the smallest class with the same min-hash: one pair per class and key, never all pairs of a
    group. A pair's overlap is counted in each fragment apart and summed per pair. Links make components.
 3. Rest. Step 1 again with components for classes: who shares need(n) n-grams with *other* components may still have
-   an uncounted link. Those get new leaders; what is left after that is joined exactly by prefixes over n-grams that differ
-   in component, the rarest first, and pairs whose parities differ too much for a link are left out. Of two components the
-   pair that differs least is counted first, all others only if their components are still apart. So no link between components
+   an uncounted link. Those get new leaders; what is left after that meets at prefixes over n-grams that differ
+   in component, the rarest first, and pairs whose parities differ too much for a link are left out. First each class meets one class of each of its n-grams,
+   then all pairs of components that are still apart meet; of two components the pair that differs least is counted first. So no link between components
    is lost, and pairs inside one are never listed.
 
 Defined results: words are runs of other characters than [\\x20\\x09-\\x0D], A-Z in lower case; fewer words than n are one n-gram; null, empty and
@@ -44,6 +44,8 @@ PAIR_FRAGMENTS = 4
 #: Members of a leader that are compared in one part.
 SALT_ROWS = 2000
 KEYS_PER_ROUND, ROUNDS = 2, 3
+#: Classes of an n-gram that its other classes meet in a round, rounds before all meet.
+HEADS, HEAD_ROUNDS = 4, 4
 #: Words of 64 bits of a signature; a power of two.
 SIGNATURE = 16
 
@@ -363,11 +365,11 @@ def led(sets: DataFrame, seed: int, percent: int) -> DataFrame:
     return met.filter((F.col("comp") != F.col("h.comp")) & fits).select(F.col("cls").alias("x"), F.col("h.cls").alias("l")).distinct()
 
 
-def by_prefix(sets: DataFrame, percent: int) -> DataFrame:
-    """All pairs (x, l) of different components that can link, differ, comp_x, comp_l: they meet at one of the first n-grams among those that several components have.
+def prefixed(sets: DataFrame, percent: int) -> DataFrame:
+    """Of each class the first n-grams among those that several components have, the rarest first: cls, comp, n, h, rest, alone, s0, s1, ...
 
-    A pair's symmetric difference has the n-grams that no other component has, and at least as many others as the parities differ of the
-    two sets' n-grams dealt into 64 * SIGNATURE bits. A pair is left out only where that is more than a link allows.
+    Two classes of different components that link have one of these in common. rest: n-grams of that kind from this one on; alone: the class's
+    n-grams that no other component has; s0, s1, ...: parities of the others, dealt into 64 * SIGNATURE bits.
     """
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -385,23 +387,46 @@ def by_prefix(sets: DataFrame, percent: int) -> DataFrame:
     among = rows.join(spread, "h").select(
         "*", F.row_number().over(of_class.orderBy("df", "h")).alias("i"), F.count(F.lit(1)).over(of_class).alias("t"), *signature
     )
-    names = [f"s{k}" for k in range(SIGNATURE)]
-    prefix = written(
-        among.filter(F.col("i") <= F.col("t") - F.ceil(F.col("n") * percent / 100) + 1)
-        .select("cls", "comp", "n", "h", (F.col("t") - F.col("i") + 1).alias("rest"), (F.col("n") - F.col("t")).alias("alone"), *names), "join-prefix",
+    return among.filter(F.col("i") <= F.col("t") - F.ceil(F.col("n") * percent / 100) + 1).select(
+        "cls", "comp", "n", "h", (F.col("t") - F.col("i") + 1).alias("rest"), (F.col("n") - F.col("t")).alias("alone"), *[f"s{k}" for k in range(SIGNATURE)]
     )
-    other = prefix.select(*[F.col(c).alias(f"l{c}") for c in prefix.columns])
+
+
+def _met(prefix: DataFrame, other: DataFrame, same: Column, percent: int) -> DataFrame:
+    """x, l, differ, comp_x, comp_l: rows of both that meet and can link; other's columns begin with l.
+
+    A pair's symmetric difference has the n-grams that either has alone, and at least as many others as the parities differ. A pair is left
+    out only where that is more than a link allows, or where sizes or what is left of either don't allow one.
+    """
     n, ln = F.col("n"), F.col("ln")
     # from the first n-gram that a linked pair has in common, either side has at least the whole overlap left
     least = F.ceil((n + ln) * percent / (100 + percent) - 1e-9)
-    fits = (n * 100 >= ln * percent) & (ln * 100 >= n * percent) & (F.least("rest", "lrest") >= least)
+    fits = (n * 100 >= ln * percent) & (ln * 100 >= n * percent)
     differ = F.col("alone") + F.col("lalone")  # at least so many n-grams are in one of the two only
-    for c in names:
-        differ += F.bit_count(F.col(c).bitwiseXOR(F.col(f"l{c}")))
+    for c in range(SIGNATURE):
+        differ += F.bit_count(F.col(f"s{c}").bitwiseXOR(F.col(f"ls{c}")))
     close = differ * (100 + percent) <= (n + ln) * (100 - percent)
-    return prefix.join(other, (F.col("h") == F.col("lh")) & (F.col("cls") > F.col("lcls")) & (F.col("comp") != F.col("lcomp")) & fits & close).select(
-        F.col("cls").alias("x"), F.col("lcls").alias("l"), differ.alias("differ"), F.col("comp").alias("comp_x"), F.col("lcomp").alias("comp_l")
-    ).distinct()
+    met = prefix.join(other, same & (F.col("comp") != F.col("lcomp")) & fits & (F.least("rest", "lrest") >= least) & close)
+    return met.select(F.col("cls").alias("x"), F.col("lcls").alias("l"), differ.alias("differ"), F.col("comp").alias("comp_x"), F.col("lcomp").alias("comp_l")).distinct()
+
+
+def met_by_prefix(prefix: DataFrame, percent: int) -> DataFrame:
+    """All pairs of different components that can link."""
+    other = prefix.select(*[F.col(c).alias(f"l{c}") for c in prefix.columns])
+    return _met(prefix, other, (F.col("h") == F.col("lh")) & (F.col("cls") > F.col("lcls")), percent)
+
+
+def led_by_prefix(prefix: DataFrame, seed: int, percent: int) -> DataFrame:
+    """Of those pairs the ones with HEADS classes of each n-gram, picked by a hash: HEADS rows for each prefix row at most, never a group's pairs."""
+    own = F.struct(*[c for c in prefix.columns if c != "h"])
+    picked = F.array_distinct(F.array(*[F.min_by(own, F.xxhash64("cls", F.lit(seed * HEADS + k))) for k in range(HEADS)]))
+    heads = prefix.groupBy("h").agg(picked.alias("l")).select(F.col("h").alias("lh"), F.explode("l").alias("l"))
+    heads = heads.select("lh", *[F.col(f"l.{c}").alias(f"l{c}") for c in prefix.columns if c != "h"])
+    return _met(prefix, heads, F.col("h") == F.col("lh"), percent)
+
+
+def by_prefix(sets: DataFrame, percent: int) -> DataFrame:
+    return met_by_prefix(written(prefixed(sets, percent), "join-prefix"), percent)
 
 
 def join(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -475,22 +500,31 @@ def _joined(docs: DataFrame, *, n: int, percent: int = 75, id_col: str, text_col
         if open_sets.isEmpty() or not linked:
             break
     if not open_sets.isEmpty():
-        candidates = written(by_prefix(open_sets.join(near(comps, n_left), "cls"), percent), "join-candidates")
-        for only_best in (True, True, False):
-            # of two components the pair that differs least comes first: a link makes the others needless
+        prefix, first = written(prefixed(open_sets.join(near(comps, n_left), "cls"), percent), "join-prefix"), comps
+
+        def present(df: DataFrame, *sides: str) -> DataFrame:
+            """df, labelled by the components as they are now."""
+            moved = first.withColumnRenamed("comp", "was").join(near(comps, n_left), "cls").filter("was != comp").select("was", "comp").distinct()
+            for side in sides:
+                now = near(moved.select(F.col("was").alias(f"was_{side}"), F.col("comp").alias("now")), n_left)
+                df = df.join(now, F.col(side) == F.col(f"was_{side}"), "left").withColumn(side, F.coalesce("now", side)).drop("now", f"was_{side}")
+            return df
+
+        def closest(candidates: DataFrame) -> DataFrame:
+            """Of two components the pair that differs least: a link makes the others needless."""
             two = F.least("comp_x", "comp_l").alias("a"), F.greatest("comp_x", "comp_l").alias("b")
-            best = candidates.groupBy(*two).agg(F.min(F.struct("differ", "x", "l")).alias("p")).select("p.x", "p.l")
-            chosen, before = written(best if only_best else candidates.select("x", "l"), "join-chosen"), comps
-            linked = absorb(verified(chosen, sets, percent))
-            if not only_best:
+            return candidates.groupBy(*two).agg(F.min(F.struct("differ", "x", "l")).alias("p")).select("p.x", "p.l")
+
+        for seed in range(HEAD_ROUNDS):
+            if not absorb(verified(closest(led_by_prefix(present(prefix, "comp"), seed, percent)), sets, percent)):
                 break
-            left_over = candidates.join(near(chosen, chosen.count()), ["x", "l"], "left_anti")
-            if linked:
-                moved = before.withColumnRenamed("comp", "was").join(near(comps, n_left), "cls").filter("was != comp").select("was", "comp").distinct()
-                for side in ("comp_x", "comp_l"):
-                    now = near(moved.select(F.col("was").alias(side), F.col("comp").alias("now")), n_left)
-                    left_over = left_over.join(now, side, "left").withColumn(side, F.coalesce("now", side)).drop("now")
-            candidates = written(left_over.filter("comp_x != comp_l"), "join-candidates")
+        candidates, first = written(met_by_prefix(present(prefix, "comp"), percent), "join-candidates"), comps
+        chosen = written(closest(candidates), "join-chosen")
+        if absorb(verified(chosen, sets, percent)):
+            rest = present(candidates.join(near(chosen, chosen.count()), ["x", "l"], "left_anti"), "comp_x", "comp_l")
+        else:
+            rest = candidates.join(near(chosen, chosen.count()), ["x", "l"], "left_anti")
+        absorb(verified(rest.filter("comp_x != comp_l").select("x", "l"), sets, percent))
     drop_written(sets)
 
     by_class = classes.join(comps, "cls", "left").select("cls", "rep", F.coalesce("comp", "cls").alias("comp"))
