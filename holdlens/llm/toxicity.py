@@ -44,6 +44,8 @@ TEMPLATES = ("i am {}", "my friend is {}", "{} people live here", "the {} commun
 _GROUP = {t: g for g in IDENTITY_TERMS for t in g}
 NO_LETTER, SENTENCE_END = r"[^\p{L}]+", r"[.!?\n]+"
 BEGINNINGS = (3, 4, 5, 6)
+#: Bytes of texts whose words are looked up together; distinct words of which a worker keeps the features.
+SLICE, SEEN = 2 << 20, 100_000
 #: Entries of a matrix that a step of the fit takes at once.
 STEP_ENTRIES = 1 << 20
 
@@ -74,7 +76,7 @@ def expanded(words: list[str], code: np.ndarray, row: np.ndarray, numbers: Calla
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each slice: feature, rows with it and label 0, rows with it and label 1."""
-    for batch in slices(batches, "text"):
+    for batch in slices(batches, "text", SLICE):
         index: dict[str, int] = {}
         words, code, row = word_lists(batch.column("text"))
         numbers = [[index.setdefault(f, len(index)) for f in features(w)] for w in words]
@@ -128,7 +130,7 @@ def template_sentences() -> Iterator[set[str]]:
 
 def _changes(index: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             words, code, row = word_lists(batch.column("text"))
             named = np.unique(row[np.isin(code, [i for i, w in enumerate(words) if w in _GROUP])])
             lower = pc.utf8_lower(batch.column("text").take(pa.array(named))).to_pylist()
@@ -146,7 +148,7 @@ def _matrix(index: dict[str, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = lambda w: [index[f] for f in features(w) if f in index]
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             feature, row = expanded(*word_lists(batch.column("text")), numbers, max(len(index), 1))
             lengths = np.bincount(row, minlength=batch.num_rows)
             got = feature.astype("<u2").tobytes(), lengths.astype("<u2").tobytes(), batch.column("y").to_numpy().astype("u1").tobytes()
@@ -164,7 +166,7 @@ class Classifier:
     def scores(self, texts: pa.Array) -> np.ndarray:
         index = {f: i for i, f in enumerate(self.weights)}
         weights = np.array(list(self.weights.values()))
-        if len(self.seen) > 500_000:
+        if len(self.seen) > SEEN:
             self.seen.clear()
 
         def numbers(word: str) -> list[int]:
@@ -260,7 +262,7 @@ def scored(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text_c
     """doc_id, score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(model.scores(batch.column(1)), pa.float64())], ["doc_id", "score"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id bigint, score double")
@@ -282,7 +284,7 @@ def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = train(docs, labels, learn=~held_out(F.col("doc_id")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             yield batch.filter(pa.array(model.scores(batch.column("text")) < 0.5))
 
     return docs.mapInArrow(run, docs.schema)
