@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, small_batches
 from .tokens import PartEncoder
 
 SCHEMA = "doc_id bigint, section int, start_char bigint, end_char bigint, n_tokens bigint, n_crossing bigint, doc_tokens bigint"
@@ -80,5 +80,6 @@ def attribute(
     """A row for each section: doc_id, section, start_char, end_char, n_tokens, n_crossing, doc_tokens."""
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     return texts.mapInArrow(_run(tokenizer_json, separator, rule), SCHEMA)

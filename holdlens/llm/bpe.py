@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, small_batches
 from .tokens import torn
 
 #: Bits of an id, of which all are set in none, and of a place within a word; a rank stands above both.
@@ -316,6 +316,7 @@ def join_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def encode(docs: DataFrame, *, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_tokens, ids_le (little-endian unsigned 32-bit ids), decoded (bytes of the ids decoded)."""
+    small_batches(docs.sparkSession)
     fixed = constants(docs.sparkSession, ranks)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     rows = texts.mapInArrow(cut(pattern, ranks), CUT)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -12,12 +14,30 @@ from pyspark.sql import functions as F
 
 from ..shared import drop_path, new_path, written
 
-__all__ = ["drop_path", "near", "new_path", "numbered", "slices", "table", "written"]
+__all__ = ["drop_path", "near", "new_path", "numbered", "release", "slices", "small_batches", "table", "written"]
 
 #: Rows of a few numbers or digests that may be broadcast; larger tables are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
 
+#: Rows of an Arrow batch of texts: a batch is held on both sides of the pipe to Python, and texts may be long.
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """From here on the session's Arrow batches have few rows, unless it has set their size itself. The setting is read when a plan runs, so it stays."""
+    key, default, few = BATCH_ROWS
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, few)
+
+
+def release() -> None:
+    """Gives memory that a worker no longer uses back to the system: the worker lives on and serves other tasks."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):  # a C library without it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches' rows in slices of about `most` bytes of a string or binary column; a longer row is in a slice of its own."""
     for batch in batches:
@@ -25,6 +45,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20)
         starts = np.flatnonzero(np.diff((np.cumsum(sizes) - sizes) // most, prepend=-1)).tolist()
         for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
             yield batch.slice(a, b - a)
+    release()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

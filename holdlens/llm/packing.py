@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import numbered, slices, written
+from .common import numbered, slices, small_batches, written
 from .tokens import encoder
 
 #: Bytes of texts that are encoded together.
@@ -154,6 +154,7 @@ def pack(
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """A row for each piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset (and ids, if asked for)."""
+    small_batches(docs.sparkSession)
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + (", ids binary" if with_ids else "")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     cut = texts.mapInArrow(pieces(tokenizer_json, capacity, end_id, with_ids), schema)

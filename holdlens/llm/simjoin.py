@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_written, near, shuffle_partitions, slices, written
+from .common import drop_written, near, release, shuffle_partitions, slices, small_batches, written
 
 U = np.uint64
 #: Bytes of text that are hashed together.
@@ -230,6 +230,7 @@ def _count_shared(parts: int):
             shared |= np.isin(h[first].astype("<u4"), marked)
             n = np.bincount(code[np.repeat(shared, np.diff(first, append=len(h)))], minlength=len(ids))
             counted.append((ids[n > 0], n[n > 0]))
+        release()
         key, n = _summed(np.concatenate([k for k, _ in counted] or [np.zeros(0, np.int64)]), np.concatenate([n for _, n in counted] or [np.zeros(0, np.int64)]))
         # packed by the part that sums them up: a row for each part, not for each class and fragment
         return _packed(key, n, (mix(key.astype(U)) % U(parts)).astype(np.int64))
@@ -437,6 +438,7 @@ def join(docs: DataFrame, *, n: int = 5, percent: int = 75, id_col: str = "doc_i
 def _joined(docs: DataFrame, *, n: int, percent: int = 75, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """join() with the class of each row, and the components of classes that were looked at (cls, comp)."""
     spark = docs.sparkSession
+    small_batches(spark)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = written(described(texts, n), "join-documents")
     classes = written(found.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "join-classes")

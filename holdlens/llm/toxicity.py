@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, slices, written
+from .common import drop_written, slices, small_batches, written
 
 #: Groups of identity terms; a term is swapped for the others of its group.
 IDENTITY_TERMS = (
@@ -229,6 +229,7 @@ def train(
     sample_rows bounds the labelled documents that are read: up to half of it for either label, the first ones by a hash of the
     identifier, so the joined side is always small enough to broadcast.
     """
+    small_batches(docs.sparkSession)
     y = labels.filter(F.col(label_col).isin(0, 1)).select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
     y = y.filter(F.col("doc_id").isNotNull() & learn).distinct()
     all_counts = {r["y"]: r["n"] for r in y.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
