@@ -68,13 +68,16 @@ def _kind() -> str:
     return "CASE " + " ".join(f"WHEN c.m RLIKE {_text('^(?:' + p + ')$')} THEN {_text(k)}" for k, p in list(KINDS.items())[:-1]) + " ELSE 'random_text' END"
 
 
-def candidates(text: Column) -> Column:
-    """array<struct<m, left, right, start>> of a text, by place."""
-    pattern = F.lit(PATTERN)
-    matches = F.regexp_extract_all(text, pattern, F.lit(0))
-    parts = F.split(text, PATTERN, -1)
-    raw = F.arrays_zip(matches.alias("m"), F.slice(parts, F.lit(1), F.size(matches)).alias("left"), F.slice(parts, F.lit(2), F.size(matches)).alias("right"))
-    return F.when(text.rlike(PATTERN), raw).otherwise(F.array().cast("array<struct<m:string,left:string,right:string>>"))
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for body with value computed once, under a name."""
+    return f"aggregate(CAST(array() AS array<int>), {value}, (bound_, none_) -> bound_, {name} -> {body})"
+
+
+def candidates() -> str:
+    """SQL for the candidates of scan_text by place, array<struct<m, left, right>>; the text is searched three times at most."""
+    between = "transform(matches_, (x, i) -> named_struct('m', x, 'left', get(parts_, i), 'right', get(parts_, i + 1)))"
+    found = _let("matches_", f"regexp_extract_all(scan_text, {_text(PATTERN)}, 0)", _let("parts_", f"split(scan_text, {_text(PATTERN)}, -1)", between))
+    return f"CASE WHEN scan_text RLIKE {_text(PATTERN)} THEN {found} ELSE CAST(array() AS array<struct<m: string, left: string, right: string>>) END"
 
 
 def described(docs: DataFrame, text: Column, path: Column, dictionary: tuple[str, ...] = ()) -> DataFrame:
@@ -97,15 +100,16 @@ def described(docs: DataFrame, text: Column, path: Column, dictionary: tuple[str
     value = f"CASE WHEN c.kind = 'assignment' THEN regexp_extract(c.m, {_text('[=:][ \\t]*[\"' + chr(39) + ']?(.*)$')}, 1) ELSE c.m END"
     named = ", ".join(f"'{k}', CAST({v} AS DOUBLE)" for k, v in features.items())
     # where each candidate ends: a running sum, so a text of many candidates isn't summed anew for each
-    ends = "aggregate(scan_raw, array(0L), (s, c) -> concat(s, array(element_at(s, -1) + length(c.left) + length(c.m))))"
-    placed = "transform(scan_raw, (c, i) -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', get(scan_ends, i + 1) - length(c.m)))"
+    ends = "aggregate(raw_, array(0L), (s, c) -> concat(s, array(element_at(s, -1) + length(c.left) + length(c.m))))"
+    placed = "transform(raw_, (c, i) -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', get(ends_, i + 1) - length(c.m)))"
+    all_placed = _let("raw_", candidates(), _let("ends_", ends, placed))
+    # one expression from the text to the features: no column in between that the optimizer could compute twice
+    kinds = f"transform({all_placed}, c -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', c.start, 'kind', {_kind()}))"
+    values = f"transform({kinds}, c -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', c.start, 'kind', c.kind, 'value', {value}))"
+    found = f"transform({values}, c -> named_struct('m', c.m, 'left', c.left, 'start', c.start, 'kind', c.kind, 'value', c.value, {named}))"
     return (
         docs.withColumn("scan_text", F.coalesce(text, F.lit(""))).withColumn("scan_path", F.coalesce(path, F.lit("")))
-        .withColumn("scan_raw", candidates(F.col("scan_text"))).withColumn("scan_ends", F.expr(ends)).withColumn("scan_raw", F.expr(placed))
-        .withColumn("scan_raw", F.expr(f"transform(scan_raw, c -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', c.start, 'kind', {_kind()}))"))
-        .withColumn("scan_raw", F.expr(f"transform(scan_raw, c -> named_struct('m', c.m, 'left', c.left, 'right', c.right, 'start', c.start, 'kind', c.kind, 'value', {value}))"))
-        .withColumn("found", F.expr(f"transform(scan_raw, c -> named_struct('m', c.m, 'left', c.left, 'start', c.start, 'kind', c.kind, 'value', c.value, {named}))"))
-        .drop("scan_path", "scan_raw", "scan_ends", "scan_text")
+        .withColumn("found", F.expr(found)).drop("scan_path", "scan_text")
     )
 
 
@@ -170,7 +174,8 @@ def _scored(docs: DataFrame, forest: Forest, text_col: str, path_col: str | None
 def scan(docs: DataFrame, forest: Forest, *, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source", threshold: float = 0.5) -> DataFrame:
     """A row for each candidate: doc_id, kind, start, length (of the value, in characters), value, score, predicted."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *([F.col(path_col).alias("path")] if path_col else []))
-    f = _scored(rows, forest, "text", "path" if path_col else None).select("doc_id", F.explode("found").alias("f"))
+    # the outer explode spares a filter for texts with findings, which would search every text once more
+    f = _scored(rows, forest, "text", "path" if path_col else None).select("doc_id", F.explode_outer("found").alias("f")).filter("f IS NOT NULL")
     inside = F.instr("f.m", F.col("f.value")) - 1
     return f.select(
         "doc_id", F.col("f.kind").alias("kind"), (F.col("f.start") + inside).alias("start"), F.length("f.value").cast("long").alias("length"),
