@@ -75,6 +75,15 @@ QUERIES = {
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 ORACLES = {
+    "op2_ngram_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+             n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+             o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+             l AS (SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * o >= 75 * (p.n + q.n - o)),
+             e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+             r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, (SELECT min(y) FROM r WHERE x = doc_id)) AS component_id FROM d LEFT JOIN n USING (doc_id)""",
     "op3_warc_index": """
         WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest FROM pages),
              s AS (SELECT *, octet_length(encode(html)) AS n, lower(regexp_replace(coalesce(url, ''), '#.*$', '')) AS u FROM p),
