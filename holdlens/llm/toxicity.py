@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_written, slices, small_batches, written
+from .common import drop_written, release, slices, small_batches, written
 
 #: Groups of identity terms; a term is swapped for the others of its group.
 IDENTITY_TERMS = (
@@ -256,7 +256,10 @@ def train(
     joined = lambda c, kind: np.frombuffer(b"".join(x for p in parts for x in p.column(c).to_pylist()), kind)
     numbers, lengths, y = joined("features", "<u2"), joined("lengths", "<u2").astype(np.int64), joined("y", "u1").astype(float)
     drop_written(rows)
-    return fit(numbers, lengths, y, changes, chosen, l1=l1, swap_penalty=swap_penalty, rounds=rounds)
+    model = fit(numbers, lengths, y, changes, chosen, l1=l1, swap_penalty=swap_penalty, rounds=rounds)
+    del parts, numbers, lengths, y
+    release()  # the driver lives on too
+    return model
 
 
 def scored(docs: DataFrame, model: Classifier, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
