@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import drop_written, near, release, shuffle_partitions, slices, small_batches, written
+from .common import BROADCAST_ROWS, drop_written, near, release, shuffle_partitions, slices, small_batches, written
 
 U = np.uint64
 #: Bytes of text that are hashed together.
@@ -272,8 +272,25 @@ def _fragments(entries: int, spark) -> int:
     return max(shuffle_partitions(spark), -(-entries // FRAGMENT))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, label (the smallest node reachable), of edges (a, b); labels spread to neighbours and jump to labels' labels."""
+def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, label of edges (a, b) that one task holds."""
+    ends = [np.stack([batch.column("a").to_numpy(), batch.column("b").to_numpy()]) for batch in batches]
+    nodes, at = np.unique(np.concatenate([*ends, np.zeros((2, 0), np.int64)], axis=1), return_inverse=True)
+    a, b = at.reshape(2, -1)
+    label = np.arange(len(nodes))
+    while (label[a] != label[b]).any():
+        least = np.minimum(label[a], label[b])
+        np.minimum.at(label, label[a], least)
+        np.minimum.at(label, label[b], least)
+        while (label[label] != label).any():
+            label = label[label]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], ["node", "label"])
+
+
+def components(edges: DataFrame, one_task: int = BROADCAST_ROWS) -> DataFrame:
+    """node, label (the smallest node reachable), of edges (a, b). Few edges are labelled by one task; of more, labels spread to neighbours and jump to labels' labels."""
+    if edges.count() <= one_task:
+        return written(edges.select("a", "b").coalesce(1).mapInArrow(_reached, "node bigint, label bigint"), "labels")
     both = written(edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     while True:
@@ -289,58 +306,57 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-PAIR = "l bigint, f int, salt int, is_x int, x bigint, hashes binary"
+PAIR = "l bigint, f int, salt int, is_x int, x bigint, n bigint, hashes binary"
 
 
 def _cut_pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each side's set, cut into fragments of the global order."""
     for batch in batches:
         out: list[tuple] = []
-        for l, salt, is_x, x, raw in zip(*(batch.column(c).to_pylist() for c in ("l", "salt", "is_x", "x", "hashes")), strict=True):
+        for l, salt, is_x, x, n, raw in zip(*(batch.column(c).to_pylist() for c in ("l", "salt", "is_x", "x", "n", "hashes")), strict=True):
             h = np.frombuffer(raw, U)
             edges = np.searchsorted(h, np.arange(PAIR_FRAGMENTS + 1).astype(U) * U((1 << 64) // PAIR_FRAGMENTS - 1))
             edges[-1] = len(h)
-            out += [(l, f, salt, is_x, x, h[a:b].tobytes()) for f, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
-        columns = list(zip(*out, strict=True)) or [()] * 6
-        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            out += [(l, f, salt, is_x, x, n, h[a:b].tobytes()) for f, (a, b) in enumerate(zip(edges, edges[1:], strict=False))]
+        columns = list(zip(*out, strict=True)) or [()] * 7
+        kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], [x.split()[0] for x in PAIR.split(", ")])
 
 
 def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Overlaps within a fragment: a leader's part comes before those of its members."""
-    own, whose = np.zeros(0, U), None
+    own, own_n, whose = np.zeros(0, U), 0, None
     for batch in batches:
-        xs, ls, counts = [], [], []
-        for l, f, salt, is_x, x, raw in zip(*(batch.column(c).to_pylist() for c in ("l", "f", "salt", "is_x", "x", "hashes")), strict=True):
+        found: list[tuple] = []
+        for l, f, salt, is_x, x, n, raw in zip(*(batch.column(c).to_pylist() for c in ("l", "f", "salt", "is_x", "x", "n", "hashes")), strict=True):
             h = np.frombuffer(raw, U)
             if not is_x:
-                own, whose = h, (l, f, salt)
+                own, own_n, whose = h, n, (l, f, salt)
             elif whose == (l, f, salt) and len(own) and len(h):
                 at = np.searchsorted(own, h)
                 hits = int((own[np.minimum(at, len(own) - 1)] == h).sum())
                 if hits:
-                    xs.append(x)
-                    ls.append(l)
-                    counts.append(hits)
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (xs, ls, counts)], ["x", "l", "part"])
+                    found.append((x, l, n, own_n, hits))
+        columns = list(zip(*found, strict=True)) or [()] * 5
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["x", "l", "nx", "nl", "part"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (x, l) that link: overlaps are counted in each fragment apart and summed per pair."""
     pairs = written(pairs, "join-pairs")
     size = pairs.groupBy("l").agg(F.ceil(F.count(F.lit(1)) / SALT_ROWS).cast("int").alias("salts"))
-    some, n_pairs = sets.select("cls", "hashes"), pairs.count()
+    some, n_pairs = sets.select("cls", "n", "hashes"), pairs.count()
     members = some.withColumnRenamed("cls", "x").join(near(pairs.join(size, "l"), n_pairs), "x").select(
-        "l", F.pmod(F.xxhash64("x"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("is_x"), "x", "hashes"
+        "l", F.pmod(F.xxhash64("x"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("is_x"), "x", "n", "hashes"
     )
     leaders = some.withColumnRenamed("cls", "l").join(near(size, n_pairs), "l").select(
-        "l", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("is_x"), F.col("l").alias("x"), "hashes"
+        "l", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("is_x"), F.col("l").alias("x"), "n", "hashes"
     )
     parts = members.unionByName(leaders).mapInArrow(_cut_pair, PAIR)
-    met = parts.repartition("l", "f", "salt").sortWithinPartitions("l", "f", "salt", "is_x").mapInArrow(_partial, "x bigint, l bigint, part bigint")
-    overlap = met.groupBy("x", "l").agg(F.sum("part").alias("o"))
-    n = sets.select("cls", "n")
-    return overlap.join(n.select(F.col("cls").alias("x"), F.col("n").alias("nx")), "x").join(n.select(F.col("cls").alias("l"), F.col("n").alias("nl")), "l").filter(
+    met = parts.repartition("l", "f", "salt").sortWithinPartitions("l", "f", "salt", "is_x").mapInArrow(_partial, "x bigint, l bigint, nx bigint, nl bigint, part bigint")
+    # the sizes come with the parts, so the sets aren't joined once more
+    overlap = met.groupBy("x", "l").agg(F.sum("part").alias("o"), F.max("nx").alias("nx"), F.max("nl").alias("nl"))
+    return overlap.filter(
         F.col("o") * 100 >= (F.col("nx") + F.col("nl") - F.col("o")) * percent
     ).select(F.col("x").alias("a"), F.col("l").alias("b"))
 

@@ -107,6 +107,19 @@ def test_ngram_join(docs, texts, empty):
     assert simjoin.join(empty).count() == 0
 
 
+def test_few_links_are_labelled_in_few_jobs(spark):
+    """A chain, a star, a pair and a repeated link: the same labels by one task as by spreading, and few jobs."""
+    links = [(i, i + 1) for i in range(10, 40)] + [(100, i) for i in range(101, 120)] + [(7, -3), (7, -3), (-3, 7), (5, 5)]
+    edges = spark.createDataFrame(links, "a long, b long")
+    want = {i: 10 for i in range(10, 41)} | {i: 100 for i in range(100, 120)} | {7: -3, -3: -3, 5: 5}
+    spark.sparkContext.setJobGroup("few-links", "few-links")
+    few = simjoin.components(edges)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("few-links"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r["node"]: r["label"] for r in few.collect()} == {r["node"]: r["label"] for r in simjoin.components(edges, 0).collect()} == want
+    assert jobs <= 4
+
+
 def test_keep_one_repeated_rows(spark, docs, texts, empty):
     """One row of each component, also where rows or identifiers repeat; rows that no link joins all stay."""
     a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
