@@ -9,12 +9,14 @@ from contextlib import suppress
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shared import drop_path, new_path, written
+from .. import shared
+from ..shared import drop_path, new_path
 
-__all__ = ["drop_path", "near", "new_path", "numbered", "release", "slices", "small_batches", "table", "written"]
+__all__ = ["drop_path", "give_back", "near", "new_path", "numbered", "release", "slices", "small_batches", "table", "written"]
 
 #: Rows of a few numbers or digests that may be broadcast; larger tables are joined by a shuffle.
 BROADCAST_ROWS = 500_000
@@ -38,6 +40,33 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def give_back(spark: SparkSession) -> bool:
+    """The driver's JVM gives memory that it no longer uses back to the system, as release() does for Python.
+
+    Every plan's code is compiled in the driver, in memory of the C library that stays with the process when it is free again. The
+    heap is collected only once more than half of what it may have is taken: a full collection makes it smaller. Whether the JVM could.
+    """
+    jvm, new = spark.sparkContext._jvm, spark.sparkContext._gateway.new_array
+    runtime = jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() * 2 > runtime.maxMemory():
+        jvm.java.lang.System.gc()
+    with suppress(Py4JError):  # another JVM or C library may not have the command
+        # by the interface's method: Py4J doesn't see those of the server's own class
+        kinds, values = new(jvm.Class, 4), new(jvm.Object, 4)
+        kinds[0], kinds[1], kinds[2], kinds[3] = (jvm.Class.forName(c) for c in ("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;"))
+        values[0], values[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        return bool(jvm.Class.forName("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(server, values))
+    return False
+
+
+def written(df: DataFrame, name: str, *, sort: list[str] | None = None) -> DataFrame:
+    """shared.written(), after which the driver gives memory back: an operator may take a hundred such steps in one session."""
+    out = shared.written(df, name, sort=sort)
+    give_back(df.sparkSession)
+    return out
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches' rows in slices of about `most` bytes of a string or binary column; a longer row is in a slice of its own."""
     for batch in batches:

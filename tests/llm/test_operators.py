@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer, processors
 
-from holdlens.llm import attribution, bpe, exact_dedup, packing, secrets, sharding, simjoin, topk, toxicity, warc
+from holdlens.llm import attribution, bpe, common, exact_dedup, packing, secrets, sharding, simjoin, topk, toxicity, warc
 from holdlens.llm.common import numbered, written
 from holdlens.llm.tokens import PartEncoder
 
@@ -542,3 +542,12 @@ def test_numbered(spark):
     rows = numbered(spark.range(500).select((F.col("id") % 3).alias("k"), "id"), ["k"], ["id"], "no").collect()
     for k in range(3):
         assert [r["no"] for r in sorted((r for r in rows if r["k"] == k), key=lambda r: r["id"])] == list(range(sum(r["k"] == k for r in rows)))
+
+
+def test_driver_gives_memory_back(spark, monkeypatch):
+    """After every step; the JVM of the tests has the command that does it."""
+    assert common.give_back(spark)
+    given = []
+    monkeypatch.setattr(common, "give_back", given.append)
+    assert simjoin.join(written(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string"), "test")).count() == 2
+    assert len(given) > 5
