@@ -36,14 +36,26 @@ def stored(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
     return read
 
 
+def _ordered_sum(column: str, key: list[str], order: list[str]) -> Column:
+    """The sum over each key, added up in the given order."""
+    return F.sum(column).over(Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+
+
 @stored
 def holdings_f1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five funds (event types) over 30 days; a holding's weight is its share of the day's value."""
-    day = F.col("ts").cast("date")
-    cells = table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("ETF_Ticker"), F.concat(F.lit("U"), F.col("user_id")).alias("ticker"), day.alias("Holdings_As_Of")).agg(
-        F.sum("value").alias("v"), F.min("user_id").alias("user_id")
+    """Five funds (event types) over 30 days; a holding's weight is its share of the day's value.
+
+    Ranks compare weights to the last bit, so the sums are of a fixed order, whatever the layout of the table: a holding's values by event, a day's holdings by
+    their first event. That is the order of a scan on one thread. Windows, not arrays: they spill.
+    """
+    key = ["ETF_Ticker", "ticker", "Holdings_As_Of"]
+    rows = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("ETF_Ticker"), F.concat(F.lit("U"), F.col("user_id")).alias("ticker"), F.col("ts").cast("date").alias("Holdings_As_Of"), "event_id", "user_id", "value"
     )
-    total = F.sum("v").over(Window.partitionBy("ETF_Ticker", "Holdings_As_Of"))
+    cells = rows.withColumn("v", _ordered_sum("value", key, ["event_id", "value"])).groupBy(*key).agg(
+        F.max("v").alias("v"), F.min("user_id").alias("user_id"), F.min("event_id").alias("first_event")
+    )
+    total = _ordered_sum("v", ["ETF_Ticker", "Holdings_As_Of"], ["first_event", "ticker"])
     return cells.select("ETF_Ticker", "ticker", F.concat(F.lit("User "), F.col("user_id")).alias("name"), (F.col("v") / total).alias("weight"), "Holdings_As_Of", F.col("Holdings_As_Of").alias("Date_Scraped"))
 
 
